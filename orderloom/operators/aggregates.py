@@ -113,16 +113,22 @@ def daily_pivot(
     days: Sequence[dt.date],
     amount_name: str = "{day}_amount",
     count_name: str = "{day}_count",
+    total: str | None = None,
 ) -> DataFrame:
     """Two columns per listed day; a key without rows on a day shows 0.
 
     The days are given, so Spark runs no extra job to find them. Rows are
-    summed per key and day first and only those sums are spread out.
+    summed per key and day first and only those sums are spread out. With
+    ``total`` one more row, marked by ``is_total``, sums all keys; it is added
+    while the sums are still long, so wide rows are not shuffled for it.
     """
+    long = daily_totals(table, keys, ts, amount, count)
+    if total is not None:
+        long = _with_daily_total(long, keys, total)
+        keys = ["is_total", *keys]
     if not days:
-        return table.select(*keys).distinct()
+        return long.select(*keys).distinct()
     shown = [day.isoformat() for day in days]
-    long = daily_totals(table, keys, ts, amount, count)
     wide = (
         long.withColumn("day", F.col("day").cast("string"))
         .groupBy(*keys)
@@ -139,6 +145,17 @@ def daily_pivot(
     return wide.select(*keys, *cells)
 
 
+def _with_daily_total(long: DataFrame, keys: Sequence[str], total: str) -> DataFrame:
+    grouped = long.groupingSets([[*keys, "day"], ["day"]], *keys, "day").agg(
+        F.grouping(keys[0]).alias("is_total"),
+        F.sum("amount").alias("amount"),
+        F.sum("count").alias("count"),
+    )
+    is_total = F.col("is_total") == 1
+    names = [F.when(is_total, total).otherwise(F.col(k)).alias(k) for k in keys]
+    return grouped.select(is_total.alias("is_total"), *names, "day", "amount", "count")
+
+
 def slot_counts(table: DataFrame, ts: str, width: str = "1 hour", name: str = "n") -> DataFrame:
     """Rows per time slot; slots are half-open."""
     counted = table.groupBy(F.window(ts, width)).agg(F.count(F.lit(1)).alias(name))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderloom.session import scratch_path
+from orderloom.session import staging_path
 
 
 def latest_per_key(
@@ -38,7 +38,8 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def _key_side(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    """Each key once. Repeats go before the shuffle, which the join then shares."""
+    return rows.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
 
 
 def unknown_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,7 +67,7 @@ def upsert(
     lacks are not carried over.
     """
     latest = latest_per_key(batch, keys, newest_first).select(*target.columns)
-    return unknown_rows(target, latest, keys).unionByName(latest)
+    return unknown_rows(target, batch, keys).unionByName(latest)
 
 
 def append_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -116,12 +117,13 @@ def upsert_table(
 
     The partition column must keep its value for a key, as the day a document
     was created does; a batch that moves a key is refused. Merged rows go to a
-    new folder before the table is written, as a table cannot be read and
+    staging folder before the table is written, as a table cannot be read and
     replaced in one job. A run that breaks off can be repeated with the same
-    batch: partitions already replaced come out the same.
+    batch: partitions already replaced come out the same. Staging folders
+    belong to the table and are replaced by its next load.
     """
-    batch_at, merged_at = scratch_path(spark, "batch"), scratch_path(spark, "merged")
-    latest_per_key(batch, keys, newest_first).write.parquet(batch_at)
+    batch_at, merged_at = staging_path(spark, path, "batch"), staging_path(spark, path, "merged")
+    latest_per_key(batch, keys, newest_first).write.mode("overwrite").parquet(batch_at)
     latest = spark.read.parquet(batch_at)
     if latest.isEmpty():
         return
@@ -133,7 +135,7 @@ def upsert_table(
         raise ValueError(f"the batch moves keys to another {partition}")
     touched = target.join(latest.select(partition).distinct(), partition, "left_semi")
     kept = unknown_rows(touched.select(*latest.columns), latest, keys)
-    kept.unionByName(latest).write.parquet(merged_at)
+    kept.unionByName(latest).write.mode("overwrite").parquet(merged_at)
     write_partitions(spark.read.parquet(merged_at), path, partition)
 
 

@@ -268,9 +268,9 @@ def purchase_detail(
         receipt_days(purchases, p),
         amount_name,
         count_name,
+        total=V.TOTAL_LABEL,
     )
-    table = A.with_total(wide, PURCHASE_KEYS)
-    ordered = table.orderBy(F.desc("is_total"), *PURCHASE_KEYS).drop("is_total")
+    ordered = wide.orderBy(F.desc("is_total"), *PURCHASE_KEYS).drop("is_total")
     return as_doubles(ordered, ordered.columns[2:])
 
 

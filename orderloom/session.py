@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import tempfile
 import uuid
 
@@ -56,3 +57,9 @@ def _folder_of_this_machine() -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, never used before."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staging_path(spark: SparkSession, table: str, name: str) -> str:
+    """The path below the shared folder that loads of a table stage rows in."""
+    mark = hashlib.sha256(table.encode()).hexdigest()[:16]
+    return f"{shared_folder(spark)}/staging-{mark}-{name}"
