@@ -1,0 +1,197 @@
+"""Landed pages on literal files, and the loads built on them."""
+
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+
+from orderloom.operators import flatten
+from orderloom.plans import loads
+from orderloom.sources import pages as P
+from orderloom.sources import tables
+
+
+def page(kind, docs, errorcode=0, total=None, page_no=0, **response):
+    body = {"errorcode": errorcode, "total_count": len(docs) if total is None else total}
+    if errorcode is None:
+        del body["errorcode"]
+    return {
+        "sid": "s1", "page_no": page_no, "start_time": "2024-01-01 00:00:00",
+        "end_time": "2024-01-03 00:00:00", "response": body | {kind.list_field: docs} | response,
+    }
+
+
+def land(folder, *pages):
+    folder.mkdir(exist_ok=True)
+    name = f"p{len(list(folder.iterdir()))}.json"
+    (folder / name).write_text("\n".join(json.dumps(p) for p in pages))
+    return str(folder)
+
+
+def shipment(number, status=95, lines=(), **fields):
+    return {
+        "stockout_id": number, "status": status, "trade_status": 110, "trade_type": 1,
+        "warehouse_no": "w1", "modified": "2024-01-02 10:00:00",
+        "created": "2024-01-01 10:00:00",
+        "details_list": [
+            {"rec_id": r, "stockout_id": number, "goods_count": "2.0000", "total_amount": 3.5}
+            for r in lines
+        ],
+    } | fields
+
+
+def receipt(number, status="80", lines=(), **fields):
+    return {
+        "stockin_id": number, "status": status, "warehouse_no": "w1",
+        "modified": "2024-01-02 10:00:00",
+        "details_list": [{"rec_id": r, "tax": t, "total_cost": 10} for r, t in lines],
+    } | fields
+
+
+def test_envelope(spark, tmp_path):
+    path = land(
+        tmp_path / "p", page(P.SALES, [shipment(1)]), page(P.SALES, [], errorcode=None),
+        page(P.SALES, [shipment(2)], errorcode=40), page(P.SALES, []),
+    )
+    (tmp_path / "p" / "broken.json").write_text('{"response": {"errorcode": 0, ')
+    pages = P.read_pages(spark, path, P.SALES)
+    assert P.valid_pages(pages).count() == 2
+    assert P.rejected_pages(pages).count() == 3
+    with pytest.raises(PySparkException, match="page refused"):
+        P.valid_pages(pages, strict=True).collect()
+
+
+def test_documents_without_lines_keep_their_header(spark, tmp_path):
+    path = land(
+        tmp_path / "p",
+        page(P.SALES, [shipment(1, lines=(11, 12)), shipment(2), shipment(3, status=55, lines=(31,))]),
+    )
+    pages = P.read_pages(spark, path, P.SALES)
+    headers = flatten.sales_headers(pages).collect()
+    assert {(h.stockout_id, h.status, h.status_CN, h.sid) for h in headers} == {
+        ("1", "95", "已发货", "s1"), ("2", "95", "已发货", "s1")
+    }
+    assert {h.trade_status_name for h in headers} == {"已完成"}
+    lines = flatten.sales_lines(pages).collect()
+    assert {(r.stockout_id, r.detail_rec_id) for r in lines} == {("1", "11"), ("1", "12")}
+    assert float(lines[0].detail_goods_count) == 2.0 and float(lines[0].detail_total_amount) == 3.5
+
+
+def test_warehouse_list(spark, tmp_path):
+    path = land(
+        tmp_path / "p",
+        page(P.SALES, [shipment(1, lines=(1,)), shipment(2, lines=(2,), warehouse_no="w2")]),
+    )
+    pages = P.read_pages(spark, path, P.SALES)
+    assert flatten.sales_headers(pages, ["w2"]).count() == 1
+    assert flatten.sales_lines(pages, ["w2"]).first().stockout_id == "2"
+
+
+def test_purchase_lines(spark, tmp_path):
+    path = land(
+        tmp_path / "p",
+        page(P.PURCHASE, [receipt(1, lines=((1, 0), (2, "0.0600"))), receipt(2, "70", ((3, 0),))]),
+    )
+    rows = flatten.purchase_lines(P.read_pages(spark, path, P.PURCHASE)).collect()
+    assert {(r.stockin_id, r.detail_rec_id, float(r.detail_tax), r.status_CN) for r in rows} == {
+        ("1", "1", 0.13, "已完成"), ("1", "2", 0.06, "已完成")
+    }
+
+
+def test_completeness(spark, tmp_path):
+    docs = [shipment(i) for i in range(100)]
+    whole = [page(P.SALES, docs, total=150, page_no=0), page(P.SALES, docs[:50], total=150, page_no=1)]
+    path = land(tmp_path / "p", *whole)
+    row = P.page_completeness(P.read_pages(spark, path, P.SALES), P.SALES).first()
+    assert (row.declared, row.landed, row.pages, row.expected_pages, row.complete) == (
+        150, 150, 2, 2, True
+    )
+    path = land(tmp_path / "q", whole[1])
+    row = P.page_completeness(P.read_pages(spark, path, P.SALES), P.SALES).first()
+    assert (row.landed, row.complete) == (50, False)
+    path = land(tmp_path / "r", page(P.SALES, []))
+    row = P.page_completeness(P.read_pages(spark, path, P.SALES), P.SALES).first()
+    assert (row.declared, row.landed, row.expected_pages, row.complete) == (0, 0, 0, True)
+
+
+def rows(spark, path, *columns):
+    return {tuple(r) for r in tables.read_table(spark, path).select(*columns).collect()}
+
+
+def test_sales_load(spark, tmp_path):
+    header, detail = str(tmp_path / "header"), str(tmp_path / "detail")
+
+    def load(*docs):
+        folder = tmp_path / f"batch{len(list(tmp_path.iterdir()))}"
+        path = land(folder, page(P.SALES, list(docs)))
+        loads.load_sales(spark, P.read_pages(spark, path, P.SALES), header, detail)
+
+    first = [shipment(1, lines=(11,)), shipment(2, lines=(21,), created="2023-12-01 00:00:00")]
+    load(*first)
+    load(*first)
+    assert rows(spark, header, "stockout_id", "status") == {("1", "95"), ("2", "95")}
+    assert tables.read_table(spark, header).count() == 2
+    # A new line on a known document and a changed status.
+    load(shipment(1, status=110, lines=(11, 12), modified="2024-01-03 00:00:00"))
+    assert rows(spark, header, "stockout_id", "status_CN") == {("1", "已完成"), ("2", "已发货")}
+    assert rows(spark, detail, "detail_rec_id", "status") == {
+        ("11", "110"), ("12", "110"), ("21", "95")
+    }
+
+
+def test_load_refuses_bad_page(spark, tmp_path):
+    path = land(tmp_path / "p", page(P.ORDER, [{"trade_id": 1}]), page(P.ORDER, [], errorcode=7))
+    with pytest.raises(PySparkException, match="page refused, error code 7"):
+        loads.load_orders(spark, P.read_pages(spark, path, P.ORDER), str(tmp_path / "t"))
+
+
+def test_purchase_load(spark, tmp_path):
+    out = str(tmp_path / "t")
+
+    def load(number, *pages):
+        path = land(tmp_path / f"batch{number}", *pages)
+        loads.load_purchases(spark, P.read_pages(spark, path, P.PURCHASE), out, number)
+
+    first = page(P.PURCHASE, [receipt(1, lines=((1, 0), (2, 0)))])
+    # The same receipt on two pages of one load enters once.
+    load(1, first, page(P.PURCHASE, [receipt(1, lines=((1, 0), (2, 0)))], page_no=1))
+    assert rows(spark, out, "stockin_id", "detail_rec_id") == {("1", "1"), ("1", "2")}
+    assert tables.read_table(spark, out).count() == 2
+    load(2, page(P.PURCHASE, [receipt(1, lines=((1, 0), (9, 0))), receipt(2, lines=((3, 0),))]))
+    expected = {("1", "1"), ("1", "2"), ("2", "3")}
+    assert rows(spark, out, "stockin_id", "detail_rec_id") == expected
+    # The same load again gives the same table.
+    pages = P.read_pages(spark, str(tmp_path / "batch2"), P.PURCHASE)
+    loads.load_purchases(spark, pages, out, 2)
+    assert rows(spark, out, "stockin_id", "detail_rec_id") == expected
+
+
+def test_order_load_prefers_last_change_then_lowest_page(spark, tmp_path):
+    out = str(tmp_path / "t")
+
+    def order(status, modified):
+        return {"trade_id": 5, "trade_status": status, "trade_from": 2, "modified": modified,
+                "trade_time": "2024-01-01 00:00:00"}
+
+    path = land(
+        tmp_path / "p",
+        page(P.ORDER, [order(30, "2024-01-02 00:00:00")], page_no=0),
+        page(P.ORDER, [order(40, "2024-01-03 00:00:00")], page_no=2),
+        page(P.ORDER, [order(50, "2024-01-03 00:00:00")], page_no=1),
+    )
+    loads.load_orders(spark, P.read_pages(spark, path, P.ORDER), out)
+    assert rows(spark, out, "trade_id", "trade_status", "trade_from_CN") == {
+        ("5", "50", "手工建单")
+    }
+    assert tables.read_table(spark, out).count() == 1
+
+
+def test_text_pages_parse_like_files(spark, tmp_path):
+    pages = [page(P.SALES, [shipment(1, lines=(11,))]), page(P.SALES, [], errorcode=None)]
+    path = land(tmp_path / "p", *pages)
+    texts = spark.createDataFrame([(json.dumps(p),) for p in pages], "body STRING")
+    parsed = P.parse_pages(texts, "body", P.SALES)
+    assert parsed.schema.simpleString() == P.SALES.schema.simpleString()
+    assert sorted(map(str, parsed.collect())) == sorted(
+        map(str, P.read_pages(spark, path, P.SALES).collect())
+    )
