@@ -12,7 +12,13 @@ from orderloom import fixed_values as V
 
 
 def literal_map(table: Mapping[str, str]) -> Column:
-    return F.create_map(*(F.lit(x) for x in chain.from_iterable(table.items())))
+    """The table as one map literal."""
+    return F.expr(f"map({', '.join(map(_quoted, chain.from_iterable(table.items())))})")
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def decode(code: Column, table: Mapping[str, str], default: str) -> Column:

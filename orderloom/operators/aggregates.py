@@ -71,16 +71,25 @@ def with_total(
 
     One pass with grouping sets; cells that are no number are skipped. Text
     columns of the total row hold the label. Rows that agree in all texts
-    would be added up, so the texts have to be a key of the table.
+    would be added up, so the texts have to be a key of the table. One row of
+    zeros joins in the total only: it is there for an empty table, too.
     """
-    numbers = [c for c in table.columns if c not in texts]
     kinds = dict(table.dtypes)
-    cells = [F.sum(_as_number(c, kinds[c])).alias(c) for c in numbers]
-    grouped = table.groupingSets([list(texts), []], *texts).agg(
-        F.grouping(texts[0]).alias(flag), *cells
+    numbers = [c for c in table.columns if c not in texts]
+    values = table.select(
+        *texts, *(_as_number(c, kinds[c]).alias(c) for c in numbers), F.lit(False).alias("_zero")
+    )
+    zeros = table.sparkSession.range(1).select(
+        *(F.lit(None).cast(kinds[c]).alias(c) for c in texts),
+        *(F.lit(0).cast(values.schema[c].dataType).alias(c) for c in numbers),
+        F.lit(True).alias("_zero"),
+    )
+    keys = [*texts, "_zero"]
+    grouped = values.unionByName(zeros).groupingSets([keys, []], *keys).agg(
+        F.grouping("_zero").alias(flag), *(F.sum(c).alias(c) for c in numbers)
     )
     is_total = F.col(flag) == 1
-    return grouped.select(
+    return grouped.where(is_total | ~F.col("_zero")).select(
         is_total.alias(flag),
         *(F.when(is_total, total).otherwise(F.col(c)).alias(c) for c in texts),
         *numbers,

@@ -112,11 +112,14 @@ def upsert_table(
     keys: Sequence[str],
     newest_first: Sequence[Column],
     partition: str,
+    check_moves: bool = True,
 ) -> None:
     """Upsert into a partitioned Parquet table, rewriting touched partitions only.
 
     The partition column must keep its value for a key, as the day a document
-    was created does; a batch that moves a key is refused. Merged rows go to a
+    was created does; a batch that moves a key is refused. That test reads the
+    stored keys; ``check_moves`` turns it off where the source rules it out.
+    Merged rows go to a
     staging folder before the table is written, as a table cannot be read and
     replaced in one job. A run that breaks off can be repeated with the same
     batch: partitions already replaced come out the same. Staging folders
@@ -131,7 +134,7 @@ def upsert_table(
     if target is None:
         write_partitions(latest, path, partition)
         return
-    if not moved_keys(target, latest, keys, partition).isEmpty():
+    if check_moves and not moved_keys(target, latest, keys, partition).isEmpty():
         raise ValueError(f"the batch moves keys to another {partition}")
     touched = target.join(latest.select(partition).distinct(), partition, "left_semi")
     kept = unknown_rows(touched.select(*latest.columns), latest, keys)

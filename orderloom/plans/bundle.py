@@ -124,26 +124,29 @@ def stacked(parts: Sequence[Section]) -> DataFrame:
     return result
 
 
-def write_report(spark: SparkSession, t: Tables, p: ReportParams, out: str) -> str:
+def write_report(
+    spark: SparkSession, t: Tables, p: ReportParams, out: str, form: str = "parquet"
+) -> str:
     """Write all sections below a folder named after the window.
 
     Each section is one folder, sorted, under its own headings; ``index`` lists
-    the titles in order. A purchase section without rows holds a message.
+    the titles in order. Without receipts ``message`` holds a line that says so.
+    ``form`` may be csv for readers other than Spark.
     """
     folder = f"{out}/start_date={p.start:%Y%m%d}/end_date={p.end:%Y%m%d}"
     parts = [*sections(spark, t, p), purchase_section(t, p)]
 
     def write(part: Section) -> None:
         shown = part.shown().toDF(*part.headings)
-        shown.write.mode("overwrite").parquet(f"{folder}/section={part.name}")
+        writer = shown.write.mode("overwrite").format(form)
+        (writer.option("header", True) if form == "csv" else writer).save(
+            f"{folder}/section={part.name}"
+        )
 
     # Sections are small next to the window they come from: run side by side.
     with ThreadPool(SECTIONS_AT_ONCE) as pool:
         pool.map(inheritable_thread_target(spark)(write), parts)
-    purchases = spark.read.schema(parts[-1].shown().toDF(*parts[-1].headings).schema).parquet(
-        f"{folder}/section=purchases"
-    )
-    message = R.or_message(purchases, empty_message(p))
+    message = R.or_message(R.completed_receipts(t.purchases, p), empty_message(p))
     message.write.mode("overwrite").text(f"{folder}/message=purchases")
     section_index(spark, parts).coalesce(1).write.mode("overwrite").parquet(f"{folder}/index")
     return folder

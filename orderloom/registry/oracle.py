@@ -198,9 +198,9 @@ def sku_sql(p, shops) -> str:
     SELECT spec_no, goods_name, CAST(units AS DOUBLE) AS units, CAST(revenue AS DOUBLE) AS revenue,
            CAST(cost AS DOUBLE) AS cost, CAST(stock AS DOUBLE) AS stock FROM items
     UNION ALL
-    SELECT {TOTAL}, {TOTAL}, CAST(sum(units) AS DOUBLE), CAST(sum(revenue) AS DOUBLE),
-           CAST(sum(cost) AS DOUBLE), CAST(sum(stock) AS DOUBLE) FROM items
-    HAVING count(*) > 0"""
+    SELECT {TOTAL}, {TOTAL}, coalesce(CAST(sum(units) AS DOUBLE), 0),
+           coalesce(CAST(sum(revenue) AS DOUBLE), 0), coalesce(CAST(sum(cost) AS DOUBLE), 0),
+           coalesce(CAST(sum(stock) AS DOUBLE), 0) FROM items"""
 
 
 def day_cells(days, amount: str, count: str) -> str:
@@ -563,7 +563,7 @@ ORACLE: dict[str, str] = {
         CAST(units AS DOUBLE) AS units, round(CAST(rate AS DOUBLE), 2) AS rate,
         CAST(NULL AS DOUBLE) AS note FROM items
       UNION ALL SELECT TRUE, {TOTAL}, CAST(sum(amount) AS DOUBLE), CAST(sum(units) AS DOUBLE),
-        round(CAST(sum(rate) AS DOUBLE), 2), CAST(NULL AS DOUBLE) FROM items""",
+        round(CAST(sum(rate) AS DOUBLE), 2), 0.0 FROM items""",
     "union_total": f"""
       WITH {DETAIL} SELECT spec_no, CAST(sum(units) AS DOUBLE) AS units,
         CAST(sum(amount) AS DOUBLE) AS amount FROM detail GROUP BY spec_no

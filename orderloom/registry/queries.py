@@ -175,12 +175,14 @@ def _good(spark, folder, kind):
 
 @query
 def flatten_sales_header(spark, folder):
-    return plain(flatten.sales_headers(_good(spark, folder, "sales")).drop(*flatten.ORIGIN))
+    docs = flatten.shipped_documents(_good(spark, folder, "sales"))
+    return plain(flatten.sales_headers(docs).drop(*flatten.ORIGIN))
 
 
 @query
 def flatten_sales_detail(spark, folder):
-    return plain(flatten.sales_lines(_good(spark, folder, "sales")).drop(*flatten.ORIGIN))
+    docs = flatten.shipped_documents(_good(spark, folder, "sales"))
+    return plain(flatten.sales_lines(docs).drop(*flatten.ORIGIN))
 
 
 @query

@@ -67,12 +67,13 @@ def test_documents_without_lines_keep_their_header(spark, tmp_path):
         page(P.SALES, [shipment(1, lines=(11, 12)), shipment(2), shipment(3, status=55, lines=(31,))]),
     )
     pages = P.read_pages(spark, path, P.SALES)
-    headers = flatten.sales_headers(pages).collect()
+    docs = flatten.shipped_documents(pages)
+    headers = flatten.sales_headers(docs).collect()
     assert {(h.stockout_id, h.status, h.status_CN, h.sid) for h in headers} == {
         ("1", "95", "已发货", "s1"), ("2", "95", "已发货", "s1")
     }
     assert {h.trade_status_name for h in headers} == {"已完成"}
-    lines = flatten.sales_lines(pages).collect()
+    lines = flatten.sales_lines(docs).collect()
     assert {(r.stockout_id, r.detail_rec_id) for r in lines} == {("1", "11"), ("1", "12")}
     assert float(lines[0].detail_goods_count) == 2.0 and float(lines[0].detail_total_amount) == 3.5
 
@@ -83,8 +84,9 @@ def test_warehouse_list(spark, tmp_path):
         page(P.SALES, [shipment(1, lines=(1,)), shipment(2, lines=(2,), warehouse_no="w2")]),
     )
     pages = P.read_pages(spark, path, P.SALES)
-    assert flatten.sales_headers(pages, ["w2"]).count() == 1
-    assert flatten.sales_lines(pages, ["w2"]).first().stockout_id == "2"
+    docs = flatten.shipped_documents(pages, ["w2"])
+    assert flatten.sales_headers(docs).count() == 1
+    assert flatten.sales_lines(docs).first().stockout_id == "2"
 
 
 def test_purchase_lines(spark, tmp_path):

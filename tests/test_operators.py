@@ -133,6 +133,9 @@ def test_total_row_skips_text(spark):
         (False, "p", None, 1.5, 1), (False, "q", "n", None, 2), (False, "q", None, None, None),
         (True, V.TOTAL_LABEL, V.TOTAL_LABEL, 1.5, 3),
     }
+    assert as_set(A.with_total(table.limit(0), ["a", "b"])) == {
+        (True, V.TOTAL_LABEL, V.TOTAL_LABEL, 0.0, 0)
+    }
 
 
 @pytest.fixture(scope="module")
