@@ -31,27 +31,36 @@ def latest_per_key(
     return rows.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, (left[k].eqNullSafe(right[f"_{k}"]) for k in keys)
-    )
+def _key_columns(keys: Sequence[str]) -> list[Column]:
+    """Keys in a form in which equality is enough: NULL equals NULL."""
+    columns = []
+    for key in keys:
+        columns.append(F.coalesce(F.col(key).cast("string"), F.lit("")).alias(f"_{key}"))
+        columns.append(F.col(key).isNull().alias(f"_{key}_null"))
+    return columns
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    parts = []
+    for key in keys:
+        parts.append(F.coalesce(F.col(key).cast("string"), F.lit("")) == F.col(f"_{key}"))
+        parts.append(F.col(key).isNull() == F.col(f"_{key}_null"))
+    return reduce(lambda a, b: a & b, parts)
 
 
 def _key_side(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each key once. Repeats go before the shuffle, which the join then shares."""
-    return rows.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    return rows.select(*_key_columns(keys)).distinct()
 
 
 def unknown_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the batch whose key is not stored yet."""
-    side = _key_side(target, keys)
-    return batch.join(side, _same_key(batch, side, keys), "left_anti")
+    return batch.join(_key_side(target, keys), _same_key(keys), "left_anti")
 
 
 def known_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the batch whose key is stored."""
-    side = _key_side(target, keys)
-    return batch.join(side, _same_key(batch, side, keys), "left_semi")
+    return batch.join(_key_side(target, keys), _same_key(keys), "left_semi")
 
 
 def stored_keys(target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,21 +96,26 @@ def insert_ignore(
 
 
 def upsert_actions(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """What an upsert does with each key: inserted, updated or unchanged."""
-    stored = stored_keys(target, keys).select(*keys, F.lit(True).alias("_stored"))
-    sent = stored_keys(batch, keys).select(*keys, F.lit(True).alias("_sent"))
+    """What an upsert does with each key: inserted, updated or unchanged.
+
+    Both sides are put below each other and grouped: one shuffle, and a key
+    that fills either side combines on the map side.
+    """
+    stored = target.select(*keys, F.lit(True).alias("stored"), F.lit(False).alias("sent"))
+    sent = batch.select(*keys, F.lit(False).alias("stored"), F.lit(True).alias("sent"))
+    seen = stored.unionByName(sent).groupBy(*keys).agg(
+        F.max("stored").alias("stored"), F.max("sent").alias("sent")
+    )
     action = (
-        F.when(F.col("_stored").isNull(), "inserted")
-        .when(F.col("_sent").isNotNull(), "updated")
-        .otherwise("unchanged")
+        F.when(~F.col("stored"), "inserted").when(F.col("sent"), "updated").otherwise("unchanged")
     )
-    return stored.join(sent, list(keys), "full").select(*keys, action.alias("action"))
+    return seen.select(*keys, action.alias("action"))
 
 
 def moved_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Batch keys stored under another value of ``column``."""
-    side = target.select(*(F.col(k).alias(f"_{k}") for k in keys), F.col(column).alias("_was"))
-    joined = batch.select(*keys, column).join(side, _same_key(batch, side, keys))
+    side = target.select(*_key_columns(keys), F.col(column).alias("_was"))
+    joined = batch.select(*keys, column).join(side, _same_key(keys))
     return joined.where(~F.col(column).eqNullSafe(F.col("_was"))).select(*keys)
 
 
