@@ -138,7 +138,8 @@ def summary(p, group: str, where: str, label: str | None = None) -> str:
     chosen AS (SELECT {group} AS grp, spec_no, units, amount FROM detail
                WHERE {window(p)} {where})
     SELECT {shown} AS label, {SUMMARY}
-    FROM chosen d LEFT JOIN cost c ON d.spec_no = c.spec_no GROUP BY ROLLUP (grp)"""
+    FROM chosen d LEFT JOIN cost c ON d.spec_no = c.spec_no
+    GROUP BY ROLLUP (grp) HAVING count(*) > 0"""
 
 
 def channel_sql(p) -> str:
@@ -171,10 +172,11 @@ def inventory_sql(p) -> str:
     inv AS (SELECT {rolled("class_name")} AS label, sum(stock_num) AS stock,
                    sum(stock_num * cost_price) AS stock_cost
             FROM inventory LEFT JOIN products USING (spec_no)
-            WHERE warehouse_name IN {listed(p.warehouses)} GROUP BY ROLLUP (class_name)),
+            WHERE warehouse_name IN {listed(p.warehouses)}
+            GROUP BY ROLLUP (class_name) HAVING count(*) > 0),
     sale AS (SELECT {rolled("class_name")} AS label, sum(units) AS units, sum(amount) AS amount
              FROM detail LEFT JOIN products USING (spec_no)
-             WHERE {window(p)} GROUP BY ROLLUP (class_name))
+             WHERE {window(p)} GROUP BY ROLLUP (class_name) HAVING count(*) > 0)
     SELECT inv.label AS label, CAST(stock AS DOUBLE) AS stock,
            CAST(round(stock_cost, 2) AS DOUBLE) AS stock_cost,
            CAST(round(units, 2) AS DOUBLE) AS units,
@@ -387,23 +389,24 @@ rows AS (SELECT CAST(o_orderkey AS VARCHAR) AS stockout_id, 's1' AS sid,
 
 ORACLE: dict[str, str] = {
     "src_sales_pages": f"""
-      WITH {LINES} SELECT {PAGE_COLUMNS}, errorcode,
-        1 + CAST(l_discount = 0 AS INTEGER) AS total_count,
+      WITH {LINES} SELECT {PAGE_COLUMNS}, CAST(errorcode AS VARCHAR) AS errorcode,
+        CAST(1 + CAST(l_discount = 0 AS INTEGER) AS BIGINT) AS total_count,
         1 + CAST(l_discount = 0 AS INTEGER) AS documents FROM rows""",
     "src_purchase_pages": f"""
-      WITH {LINES} SELECT {PAGE_COLUMNS}, errorcode, 1 AS total_count, 1 AS documents FROM rows""",
+      WITH {LINES} SELECT {PAGE_COLUMNS}, CAST(errorcode AS VARCHAR) AS errorcode,
+        CAST(1 AS BIGINT) AS total_count, 1 AS documents FROM rows""",
     "src_order_pages": f"""
       SELECT 's1' AS sid, strftime(o_orderdate, {SECOND}) AS start_time,
         strftime(o_orderdate + INTERVAL 1 DAY, {SECOND}) AS end_time,
-        o_orderkey // 100 AS page_no,
-        CASE WHEN o_orderpriority = '1-URGENT' THEN 1050 ELSE 0 END AS errorcode,
+        CAST(o_orderkey // 100 AS INTEGER) AS page_no,
+        CASE WHEN o_orderpriority = '1-URGENT' THEN '1050' ELSE '0' END AS errorcode,
         count(*) OVER (PARTITION BY o_orderdate) AS total_count, 1 AS documents FROM orders""",
     "envelope_valid": f"""
       WITH {LINES} SELECT l_linenumber AS page_no, count(*) AS pages,
         CAST(sum(1 + CAST(l_discount = 0 AS INTEGER)) AS BIGINT) AS documents
       FROM rows WHERE errorcode = 0 GROUP BY l_linenumber""",
     "envelope_rejects": f"""
-      WITH {LINES} SELECT errorcode, l_linenumber AS page_no, count(*) AS pages
+      WITH {LINES} SELECT CAST(errorcode AS VARCHAR) AS errorcode, l_linenumber AS page_no, count(*) AS pages
       FROM rows WHERE errorcode IS NULL OR errorcode <> 0 GROUP BY ALL""",
     "page_completeness": f"""
       WITH days AS (SELECT o_orderdate AS d, count(*) AS declared FROM orders GROUP BY 1),

@@ -86,7 +86,7 @@ def _landed(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     return plain(
         pages.select(
             "sid", "start_time", "end_time", "page_no",
-            F.col("response.errorcode").alias("errorcode"),
+            F.col("response.errorcode").cast("string").alias("errorcode"),
             F.col("response.total_count").alias("total_count"),
             F.size(f"response.{layout.list_field}").alias("documents"),
         )
@@ -119,7 +119,8 @@ def envelope_valid(spark, folder):
 @query
 def envelope_rejects(spark, folder):
     pages = P.rejected_pages(D.parsed_pages(spark, folder, "sales"))
-    return pages.groupBy(F.col("response.errorcode").alias("errorcode"), "page_no").agg(
+    errorcode = F.col("response.errorcode").cast("string")
+    return pages.groupBy(errorcode.alias("errorcode"), "page_no").agg(
         F.count(F.lit(1)).alias("pages")
     )
 

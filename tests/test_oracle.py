@@ -7,7 +7,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import connect, difference
 
-TABLES = os.environ.get("ORDERLOOM_TABLES", "/root/testdata/sf0.001")
+TABLES = os.environ.get("ORDERLOOM_TABLES", "/root/testdata/sf0.01")
 QUERIES, SQL = queries(), oracle_sql()
 
 
