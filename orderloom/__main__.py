@@ -35,12 +35,13 @@ def parser() -> argparse.ArgumentParser:
         load = jobs.add_parser(f"load-{name}", help=f"load landed {name} pages")
         load.add_argument("--pages", required=True)
         load.add_argument("--table", required=True, help="path of the stored table")
+        load.add_argument("--checkpoint", help="load only pages landed since the last run")
         if name != "orders":
             load.add_argument("--warehouse-no", action="append")
         if name == "sales":
             load.add_argument("--header-table", required=True)
         if name == "purchases":
-            load.add_argument("--load", type=int, required=True, help="number of this load")
+            load.add_argument("--load", help="name of the load, needed without a checkpoint")
     return top
 
 
@@ -62,18 +63,36 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
+    """All pages below the folder or, with a checkpoint, those not loaded yet."""
     if args.job == "load-sales":
-        pages = P.read_pages(spark, args.pages, P.SALES)
-        loads.load_sales(spark, pages, args.header_table, args.table, args.warehouse_no)
+        kind = P.SALES
+
+        def load(session, pages, _):
+            loads.load_sales(session, pages, args.header_table, args.table, args.warehouse_no)
+
     elif args.job == "load-purchases":
-        pages = P.read_pages(spark, args.pages, P.PURCHASE)
-        loads.load_purchases(spark, pages, args.table, args.load, args.warehouse_no)
+        kind = P.PURCHASE
+
+        def load(session, pages, name):
+            loads.load_purchases(session, pages, args.table, name, args.warehouse_no)
+
+    else:
+        kind = P.ORDER
+
+        def load(session, pages, _):
+            loads.load_orders(session, pages, args.table)
+
+    if args.checkpoint:
+        loads.load_landed(spark, args.pages, kind, args.checkpoint, load)
     else:
-        loads.load_orders(spark, P.read_pages(spark, args.pages, P.ORDER), args.table)
+        load(spark, P.read_pages(spark, args.pages, kind), getattr(args, "load", None))
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
-    args = parser().parse_args(arguments)
+    top = parser()
+    args = top.parse_args(arguments)
+    if args.job == "load-purchases" and not (args.checkpoint or args.load):
+        top.error("load-purchases needs --checkpoint or --load")
     builder = SparkSession.builder.appName(f"orderloom {args.job}")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

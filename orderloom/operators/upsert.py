@@ -157,14 +157,15 @@ def upsert_table(
 
 
 def append_table(
-    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], load: int
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], load: str
 ) -> None:
     """Write the batch rows of keys not stored yet to a folder of this load.
 
     A load that is run again replaces its own folder and does not count its
-    earlier rows as stored, so a document never enters by halves.
+    earlier rows as stored, so a document never enters by halves. Each load
+    needs a name of its own.
     """
-    schema = batch.select(*keys).schema.add("load", "long")
+    schema = batch.select(*keys).schema.add("load", "string")
     known = stored_table(spark, path, schema)
     if known is not None:
         batch = unknown_rows(batch, known.where(F.col("load") != load), keys)

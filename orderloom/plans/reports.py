@@ -117,10 +117,15 @@ def offline_summary(
 ) -> DataFrame:
     """The wholesale shop, split by what the service remark says.
 
-    Needs real lines, as the remark is found by document.
+    Needs real lines, as the remark is found by document. Only headers whose
+    remark holds the phrase are joined: that filter reaches their scan, and a
+    line that meets none belongs to the other class. With ``fanout`` every
+    header of a trade counts, so all of them are joined.
     """
     chosen = lines.where(filters.one_of("shop_no", [p.wholesale_shop]))
     needed = chosen.select("stockout_id", "sid", "trade_no", ITEM, UNITS, AMOUNT)
+    if not fanout:
+        headers = headers.where(filters.holds("cs_remark", p.remark_phrase))
     remarked = joins.with_header(needed, headers, ["cs_remark"], fanout)
     kind = classify.remark_class(F.col("cs_remark"), p.remark_phrase, p.remark_label)
     summary = cost_summary(per_item(remarked, kind.alias("kind")), inventory, "kind")

@@ -152,7 +152,7 @@ def test_purchase_load(spark, tmp_path):
 
     def load(number, *pages):
         path = land(tmp_path / f"batch{number}", *pages)
-        loads.load_purchases(spark, P.read_pages(spark, path, P.PURCHASE), out, number)
+        loads.load_purchases(spark, P.read_pages(spark, path, P.PURCHASE), out, f"load{number}")
 
     first = page(P.PURCHASE, [receipt(1, lines=((1, 0), (2, 0)))])
     # The same receipt on two pages of one load enters once.
@@ -164,7 +164,7 @@ def test_purchase_load(spark, tmp_path):
     assert rows(spark, out, "stockin_id", "detail_rec_id") == expected
     # The same load again gives the same table.
     pages = P.read_pages(spark, str(tmp_path / "batch2"), P.PURCHASE)
-    loads.load_purchases(spark, pages, out, 2)
+    loads.load_purchases(spark, pages, out, "load2")
     assert rows(spark, out, "stockin_id", "detail_rec_id") == expected
 
 

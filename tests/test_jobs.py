@@ -1,10 +1,30 @@
 """The submitted jobs from landed pages to a written report."""
 
+import pytest
+
 from orderloom.__main__ import main
 from orderloom.sources import pages as P
 from tests.test_ingest import land, page, receipt, shipment
 
 
+def test_landed_pages_load_once(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "t"), str(tmp_path / "cp")
+    command = ["load-purchases", "--pages", str(tmp_path / "in"), "--table", out,
+               "--checkpoint", checkpoint]
+    land(tmp_path / "in", page(P.PURCHASE, [receipt(1, lines=((1, 0), (2, 0)))]))
+    main(command)
+    land(tmp_path / "in", page(P.PURCHASE, [receipt(1, lines=((1, 0),)), receipt(2, lines=((3, 0),))]))
+    main(command)
+    main(command)
+    rows = spark.read.parquet(out).select("stockin_id", "detail_rec_id").collect()
+    assert sorted(map(tuple, rows)) == [("1", "1"), ("1", "2"), ("2", "3")]
+    # A new checkpoint reads all pages again and changes nothing.
+    main([*command[:-1], str(tmp_path / "cp2")])
+    assert spark.read.parquet(out).count() == 3
+    with pytest.raises(SystemExit):
+        main(command[:-2])
+
+
 def test_loads_then_report(spark, tmp_path):
     at = {n: str(tmp_path / n) for n in ("headers", "detail", "purchases", "orders", "out")}
     fields = {"consign_time": "2024-01-30 10:00:00", "shop_no": "a", "shop_name": "shop a",
@@ -17,7 +37,7 @@ def test_loads_then_report(spark, tmp_path):
     main(["load-sales", "--pages", str(tmp_path / "sales"), "--table", at["detail"],
           "--header-table", at["headers"], "--warehouse-no", "w1"])
     main(["load-purchases", "--pages", str(tmp_path / "receipts"), "--table", at["purchases"],
-          "--load", "1"])
+          "--load", "first"])
     main(["load-orders", "--pages", str(tmp_path / "trades"), "--table", at["orders"]])
     assert spark.read.parquet(at["orders"]).count() == 1
 

@@ -80,6 +80,23 @@ def test_append_takes_whole_documents(spark):
     }
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_key_join_shuffles_each_side_once(spark, no_broadcast):
+    columns = "k STRING, sid STRING, v INT"
+    target = spark.createDataFrame([("a", "s", 1)], columns)
+    batch = spark.createDataFrame([("a", "s", 2), ("b", "s", 3)], columns)
+    fresh = U.unknown_rows(batch, target, ["k", "sid"])
+    assert plan(fresh).count("Exchange hashpartitioning") == 2
+    assert as_set(fresh) == {("b", "s", 3)}
+
+
 def test_insert_ignore_keeps_the_first(spark):
     target = frame(spark, [("a", 1, 0, 0)])
     batch = frame(spark, [("a", 2, 0, 0), ("b", 3, 0, 1), ("b", 4, 0, 0)])

@@ -1,8 +1,10 @@
 """Reports on literal rows, against sums made line by line in Python."""
 
 import datetime as dt
+import io
 import random
 from collections import defaultdict
+from contextlib import redirect_stdout
 from decimal import Decimal
 
 import pytest
@@ -128,6 +130,16 @@ def test_offline_summary(spark, inventory, headers):
     assert found(fanned)[-1][:2] == (V.TOTAL_LABEL, 9.0)
 
 
+def test_offline_headers_are_filtered_in_their_scan(spark, tmp_path, inventory, headers):
+    headers.write.parquet(str(tmp_path / "headers"))
+    stored = spark.read.parquet(str(tmp_path / "headers"))
+    report = R.offline_summary(window(spark, line(shop="010")), stored, inventory, P)
+    text = io.StringIO()
+    with redirect_stdout(text):
+        report.explain()
+    assert "StringContains(cs_remark,gift)" in text.getvalue()
+
+
 def test_inventory_summary(spark, inventory, products):
     lines = window(spark, line(units=2), line(item="i9", units=3), line(item="i2", warehouse="w3"))
     assert found(R.inventory_summary(lines, inventory, products, P)) == [
