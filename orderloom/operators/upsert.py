@@ -112,13 +112,6 @@ def upsert_actions(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return seen.select(*keys, action.alias("action"))
 
 
-def moved_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Batch keys stored under another value of ``column``."""
-    side = target.select(*_key_columns(keys), F.col(column).alias("_was"))
-    joined = batch.select(*keys, column).join(side, _same_key(keys))
-    return joined.where(~F.col(column).eqNullSafe(F.col("_was"))).select(*keys)
-
-
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -126,34 +119,70 @@ def upsert_table(
     keys: Sequence[str],
     newest_first: Sequence[Column],
     partition: str,
-    check_moves: bool = True,
+    keys_move: bool = True,
 ) -> None:
     """Upsert into a partitioned Parquet table, rewriting touched partitions only.
 
-    The partition column must keep its value for a key, as the day a document
-    was created does; a batch that moves a key is refused. That test reads the
-    stored keys; ``check_moves`` turns it off where the source rules it out.
-    Merged rows go to a
-    staging folder before the table is written, as a table cannot be read and
-    replaced in one job. A run that breaks off can be repeated with the same
-    batch: partitions already replaced come out the same. Staging folders
-    belong to the table and are replaced by its next load.
+    Touched are the partitions the batch writes to and those its keys are
+    stored in. Finding the latter reads the stored keys; ``keys_move=False``
+    spares that where a key never changes its partition. The partition column
+    is a plain text, such as a month.
+
+    Merged rows go to a staging folder before the table is written, and the
+    table is marked while its partitions are replaced: a run that breaks off
+    there is finished by the next one from the staged rows. A run that breaks
+    off earlier has changed nothing. Staging folders belong to the table, which
+    takes one load at a time.
     """
-    batch_at, merged_at = staging_path(spark, path, "batch"), staging_path(spark, path, "merged")
-    latest_per_key(batch, keys, newest_first).write.mode("overwrite").parquet(batch_at)
-    latest = spark.read.parquet(batch_at)
+    finish_replacing(spark, path, partition)
+    stage = {name: staging_path(spark, path, name) for name in ("batch", "touched", "merged")}
+    latest_per_key(batch, keys, newest_first).write.mode("overwrite").parquet(stage["batch"])
+    latest = spark.read.parquet(stage["batch"])
     if latest.isEmpty():
         return
     target = stored_table(spark, path, latest.schema)
     if target is None:
         write_partitions(latest, path, partition)
         return
-    if check_moves and not moved_keys(target, latest, keys, partition).isEmpty():
-        raise ValueError(f"the batch moves keys to another {partition}")
-    touched = target.join(latest.select(partition).distinct(), partition, "left_semi")
-    kept = unknown_rows(touched.select(*latest.columns), latest, keys)
-    kept.unionByName(latest).write.mode("overwrite").parquet(merged_at)
-    write_partitions(spark.read.parquet(merged_at), path, partition)
+    touched = latest.select(partition)
+    if keys_move:
+        stored = known_rows(target.select(*keys, partition), latest, keys)
+        touched = touched.union(stored.select(partition))
+    touched.distinct().write.mode("overwrite").parquet(stage["touched"])
+    rewritten = target.join(spark.read.parquet(stage["touched"]), partition, "left_semi")
+    kept = unknown_rows(rewritten.select(*latest.columns), latest, keys)
+    kept.unionByName(latest).write.mode("overwrite").parquet(stage["merged"])
+    _mark(spark, path, REPLACING)
+    finish_replacing(spark, path, partition)
+
+
+REPLACING, WHOLE = "replacing", "whole"
+
+
+def _mark(spark: SparkSession, path: str, state: str) -> None:
+    row = spark.range(1, numPartitions=1).select(F.lit(state).alias("state"))
+    row.write.mode("overwrite").text(staging_path(spark, path, "state"))
+
+
+def finish_replacing(spark: SparkSession, path: str, partition: str) -> None:
+    """Replace the touched partitions by the staged rows if the table is marked so."""
+    try:
+        state = spark.read.text(staging_path(spark, path, "state")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        state = None
+    if state is None or state.value != REPLACING:
+        return
+    staged = spark.read.parquet(staging_path(spark, path, "merged"))
+    touched = spark.read.parquet(staging_path(spark, path, "touched"))
+    write_partitions(staged, path, partition)
+    # Partitions all rows have moved out of: a handful of months at most.
+    left = touched.join(staged.select(partition).distinct(), partition, "left_anti")
+    for row in left.collect():
+        none = staged.drop(partition).limit(0)
+        none.write.mode("overwrite").parquet(f"{path}/{partition}={row[0]}")
+    _mark(spark, path, WHOLE)
 
 
 def append_table(

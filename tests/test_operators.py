@@ -3,6 +3,7 @@
 import datetime as dt
 import io
 import random
+import shutil
 from contextlib import redirect_stdout
 
 import pytest
@@ -253,8 +254,40 @@ def test_upsert_table_rewrites_touched_partitions_only(spark, tmp_path):
     stored = tables.read_table(spark, path).select("k", "v", "month")
     assert as_set(stored) == {("a", 1, "m1"), ("b", 2, "m2"), ("c", 2, "m3")}
     U.upsert_table(spark, path, rows().limit(0), KEY, newest(), "month")
-    with pytest.raises(ValueError, match="moves keys"):
-        U.upsert_table(spark, path, rows(("a", 3, 3, 0, "m2")), KEY, newest(), "month")
+    # A key that changes its partition leaves the old one, the last row of it too.
+    U.upsert_table(spark, path, rows(("a", 3, 3, 0, "m2")), KEY, newest(), "month")
+    stored = tables.read_table(spark, path).select("k", "v", "month")
+    assert as_set(stored) == {("a", 3, "m2"), ("b", 2, "m2"), ("c", 2, "m3")}
+    U.upsert_table(
+        spark, path, rows(("c", 4, 4, 0, "m3"), ("e", 4, 4, 0, "m1")), KEY, newest(), "month",
+        keys_move=False,
+    )
+    stored = tables.read_table(spark, path).select("k", "v", "month")
+    assert as_set(stored) == {("a", 3, "m2"), ("b", 2, "m2"), ("c", 4, "m3"), ("e", 4, "m1")}
+
+
+def test_upsert_finishes_a_broken_run(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+
+    def rows(*values):
+        return spark.createDataFrame(values, "k STRING, v INT, modified INT, page INT, month STRING")
+
+    def upsert(*values):
+        U.upsert_table(spark, path, rows(*values), KEY, newest(), "month")
+
+    upsert(("a", 1, 1, 0, "m1"), ("b", 1, 1, 0, "m1"), ("c", 1, 1, 0, "m2"))
+
+    def lose_partition(*_):
+        shutil.rmtree(tmp_path / "t" / "month=m1")
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(U, "write_partitions", lose_partition)
+        with pytest.raises(OSError):
+            upsert(("a", 2, 2, 0, "m1"))
+    upsert(("d", 3, 3, 0, "m2"))
+    stored = tables.read_table(spark, path).select("k", "v", "month")
+    assert as_set(stored) == {("a", 2, "m1"), ("b", 1, "m1"), ("c", 1, "m2"), ("d", 3, "m2")}
 
 
 def test_rename_and_catalog(spark):
