@@ -23,6 +23,17 @@ def day_range(ts: str, start: str | int | dt.date, end: str | int | dt.date) ->
     return (F.col(ts) >= day_start(first)) & (F.col(ts) < day_start(last + dt.timedelta(days=1)))
 
 
+def days_of(
+    table: DataFrame, ts: str, start: dt.date, end: dt.date, month: str
+) -> DataFrame:
+    """Rows of a range of days, read from the partitions of its months only
+    where the table has the month of ``ts`` as a column."""
+    found = table.where(day_range(ts, start, end))
+    if month in table.columns:
+        found = found.where(F.col(month).between(f"{start:%Y-%m}", f"{end:%Y-%m}"))
+    return found
+
+
 def lookback(ts: str, as_of: dt.datetime, days: int = V.LOOKBACK_DAYS) -> Column:
     """Records changed in the last days before ``as_of``, both ends included."""
     low = F.lit(str(as_of - dt.timedelta(days=days))).cast("timestamp_ntz")

@@ -186,7 +186,12 @@ def finish_replacing(spark: SparkSession, path: str, partition: str) -> None:
 
 
 def append_table(
-    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], load: str
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    load: str,
+    partition: str | None = None,
 ) -> None:
     """Write the batch rows of keys not stored yet to a folder of this load.
 
@@ -198,7 +203,11 @@ def append_table(
     known = stored_table(spark, path, schema)
     if known is not None:
         batch = unknown_rows(batch, known.where(F.col("load") != load), keys)
-    batch.write.mode("overwrite").parquet(f"{path}/load={load}")
+    if partition is None:
+        batch.write.mode("overwrite").parquet(f"{path}/load={load}")
+    else:
+        evenly = batch.hint("rebalance", partition)
+        evenly.write.mode("overwrite").partitionBy(partition).parquet(f"{path}/load={load}")
 
 
 def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:

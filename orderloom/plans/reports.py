@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom import fixed_values as V
+from orderloom import schemas as S
 from orderloom.functions import classify, decode
 from orderloom.operators import aggregates as A
 from orderloom.operators import filters, joins
@@ -29,10 +30,8 @@ SKU_COLUMNS = ("spec_no", "goods_name", "units", "revenue", "cost", "stock")
 
 def in_window(detail: DataFrame, p: ReportParams) -> DataFrame:
     """Shipped lines of the short window: what all sales reports start from."""
-    return detail.where(
-        filters.day_range("consign_time", p.start, p.end)
-        & filters.one_of("status_CN", p.statuses)
-    )
+    found = filters.days_of(detail, "consign_time", p.start, p.end, S.CONSIGN_MONTH)
+    return found.where(filters.one_of("status_CN", p.statuses))
 
 
 GROUPS = ("shop_no", "shop_name", "warehouse_name", "trade_type_name")
@@ -238,20 +237,20 @@ def sku_detail(
     return as_doubles(ordered, SKU_COLUMNS[2:]).select(*SKU_COLUMNS)
 
 
+def receipts(purchases: DataFrame, p: ReportParams, statuses: Sequence[str]) -> DataFrame:
+    """Receipt lines of the long window."""
+    found = filters.days_of(purchases, "stockin_time", p.long_start, p.end, S.STOCKIN_MONTH)
+    return found.where(filters.one_of("status_CN", statuses))
+
+
 def receipt_days(purchases: DataFrame, p: ReportParams) -> list[dt.date]:
     """Days of the long window with a receipt: at most one value per day of it."""
-    found = purchases.where(
-        filters.day_range("stockin_time", p.long_start, p.end)
-        & filters.one_of("status_CN", p.statuses)
-    )
-    return [r.day for r in A.distinct_days(found, "stockin_time").orderBy("day").collect()]
+    days = A.distinct_days(receipts(purchases, p, p.statuses), "stockin_time")
+    return [row.day for row in days.orderBy("day").collect()]
 
 
 def completed_receipts(purchases: DataFrame, p: ReportParams) -> DataFrame:
-    return purchases.where(
-        filters.day_range("stockin_time", p.long_start, p.end)
-        & (F.col("status_CN") == V.RECEIPT_DONE_LABEL)
-    )
+    return receipts(purchases, p, [V.RECEIPT_DONE_LABEL])
 
 
 PURCHASE_KEYS = ("detail_goods_no", "detail_goods_name")

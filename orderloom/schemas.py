@@ -96,6 +96,11 @@ PURCHASE_DETAIL_COLUMNS = (
     + ("sid",)
 )
 
+# Partition columns our tables have on top.
+CONSIGN_MONTH = "consign_month"
+STOCKIN_MONTH = "stockin_month"
+TRADE_MONTH = "trade_month"
+
 SALES_HEADER_KEY = ("stockout_id", "sid")
 SALES_DETAIL_KEY = ("detail_rec_id", "sid")
 PURCHASE_KEY = ("stockin_id", "sid")

@@ -128,7 +128,10 @@ def test_sales_load(spark, tmp_path):
         path = land(folder, page(P.SALES, list(docs)))
         loads.load_sales(spark, P.read_pages(spark, path, P.SALES), header, detail)
 
-    first = [shipment(1, lines=(11,)), shipment(2, lines=(21,), created="2023-12-01 00:00:00")]
+    first = [
+        shipment(1, lines=(11,), consign_time="2024-01-01 00:00:00"),
+        shipment(2, lines=(21,), consign_time="2023-12-01 00:00:00"),
+    ]
     load(*first)
     load(*first)
     assert rows(spark, header, "stockout_id", "status") == {("1", "95"), ("2", "95")}

@@ -11,7 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom import fixed_values as V
-from orderloom.plans import bundle
+from orderloom import schemas as S
+from orderloom.operators import upsert as U
+from orderloom.plans import bundle, loads
 from orderloom.plans import reports as R
 from orderloom.plans.params import ReportParams
 
@@ -75,6 +77,19 @@ def test_window_is_eight_whole_days_and_shipped_only(spark):
     assert window(spark, *rows).count() == 3
 
 
+def test_window_prunes_months(spark, tmp_path):
+    path = str(tmp_path / "detail")
+    rows = detail(spark, *(line(day=d) for d in ("2024-01-30", "2023-11-02", "2024-02-01")))
+    monthly = loads.by_month(rows, "consign_time", S.CONSIGN_MONTH)
+    U.write_partitions(monthly, path, S.CONSIGN_MONTH)
+    found = R.in_window(spark.read.parquet(path), P)
+    assert found.count() == 1
+    text = io.StringIO()
+    with redirect_stdout(text):
+        found.explain()
+    assert "consign_month" in text.getvalue().split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_channel_summary(spark, inventory):
     lines = window(
         spark, line(units=2, amount="30"), line(item="i3", amount="5"),
