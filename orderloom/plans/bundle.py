@@ -95,6 +95,12 @@ def purchase_section(t: Tables, p: ReportParams) -> Section:
     return Section("purchases", V.SHEET_PURCHASES, wide, R.PURCHASE_KEYS, (), headings)
 
 
+def purchase_days_section(t: Tables, p: ReportParams) -> Section:
+    """The purchases in long form: one row per item and day, for any window."""
+    days = R.purchase_days(t.purchases, p).withColumn("day", F.col("day").cast("string"))
+    return Section("purchases", V.SHEET_PURCHASES, days, (*R.PURCHASE_KEYS, "day"))
+
+
 def empty_message(p: ReportParams) -> str:
     return title(p.long_start, p.end, V.EMPTY_PURCHASES)
 

@@ -695,6 +695,9 @@ def bundle_sql(p) -> str:
         "CAST(cost_ratio AS VARCHAR)", number("profit"),
     ]
     stock_cells = ["label", *map(number, ("stock", "stock_cost", "units", "revenue")), "NULL"]
+    day_cells_shown = [
+        "detail_goods_no", "detail_goods_name", "day", number("amount"), number("pieces"), "NULL"
+    ]
     sku_cells = ["spec_no", "goods_name", *map(number, ("units", "revenue", "cost", "stock"))]
     parts = [
         ("channel", span + V.TITLE_CHANNEL, summary_cells, channel_sql(p)),
@@ -703,6 +706,12 @@ def bundle_sql(p) -> str:
         ("inventory", f"{p.end:%Y%m%d} {V.TITLE_INVENTORY}", stock_cells, inventory_sql(p)),
         ("sku_offline", V.SHEET_SKU_OFFLINE, sku_cells, sku_sql(p, p.offline_shops)),
         ("sku_online", V.SHEET_SKU_ONLINE, sku_cells, sku_sql(p, p.online_shops)),
+        ("purchases", V.SHEET_PURCHASES, day_cells_shown, f"""
+          WITH {PURCHASES} SELECT detail_goods_no, detail_goods_name,
+            strftime(stockin_time, {DAY}) AS day,
+            CAST(sum(detail_total_cost) AS DOUBLE) AS amount,
+            CAST(sum(detail_goods_count) AS DOUBLE) AS pieces
+          FROM purchases WHERE {month(p)} GROUP BY ALL"""),
     ]
     selects = []
     for ordinal, (name, title, cells, inner) in enumerate(parts, 1):

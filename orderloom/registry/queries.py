@@ -802,7 +802,9 @@ def _tables(spark, folder):
 
 @query
 def report_bundle(spark, folder):
-    return bundle.stacked(bundle.sections(spark, _tables(spark, folder), WHOLE))
+    t = _tables(spark, folder)
+    parts = [*bundle.sections(spark, t, WHOLE), bundle.purchase_days_section(t, WHOLE)]
+    return bundle.stacked(parts)
 
 
 @query
