@@ -5,10 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import simhash, substrings
+from orderloom.llm import mixing, packing, pii, quality, simhash, substrings
 from orderloom.llm.common import table
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.learn(docs, table(spark, folder, "labels"))
+    score = F.col("score_")
+    return quality.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        score.alias("score"),
+        (score >= quality.CUTOFF).cast("int").alias("predicted"),
+    )
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "tier",
+        "step_group",
+    )
+
+
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(
@@ -16,12 +49,35 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, n=number: s["kind"] == n)).cast("long").alias(f"n_{kind}")
+        for number, kind in enumerate(pii.PATTERNS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = substrings.remove_repeats(table(spark, folder, "documents"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_packing": op2_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op7_pii": op7_pii,
+    "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -1,3 +1,73 @@
 """SQL of the queries that it can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from orderloom.llm import mixing
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _mixing(rounds: int = mixing.ROUNDS) -> str:
+    """Running sums over all documents of a source, in hash order, where the query
+    refines histograms."""
+    parts = [
+        f"""
+sizes AS (
+  SELECT doc_id, coalesce('=' || source, '') AS key, source,
+         len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
+         substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, {mixing.ALL_DIGITS}) AS hash
+  FROM documents),
+totals AS (SELECT key, source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY ALL),
+weighed AS (
+  SELECT key, source_size, 3 * source_size AS most,
+         ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1 AS weight
+  FROM totals),
+shared AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER before, 0))::DOUBLE
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS heft
+  FROM weighed
+  WINDOW before AS (ORDER BY most / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+  SELECT key, source_size,
+         least(most::DOUBLE, coalesce((SELECT arg_max(level, heft) FROM shared WHERE level * weight <= most) * weight, 0)) AS target
+  FROM shared),
+wholes AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM goals),
+state0 AS (
+  SELECT key, '' AS floor, {(1 << 63) - 1} AS most, target - whole * source_size AS goal
+  FROM wholes WHERE target - whole * source_size > 0)"""
+    ]
+    for turn in range(rounds):
+        near = f"{'TRUE' if turn + 1 == rounds else 'FALSE'} AND 2 * (goal - (upto - words)) >= words"
+        parts.append(f"""
+rows{turn} AS (
+  SELECT key, hash, any_value(s.goal) AS goal, sum(d.size) AS words
+  FROM sizes d JOIN state{turn} s USING (key)
+  WHERE d.size > 0 AND d.size <= s.most AND d.hash > s.floor GROUP BY ALL),
+sums{turn} AS (
+  SELECT *, sum(words) OVER (PARTITION BY key ORDER BY hash ROWS UNBOUNDED PRECEDING) AS upto FROM rows{turn}),
+cut{turn} AS (
+  SELECT key, hash AS cut, {near} AS with_it, goal - (upto - words) AS rest
+  FROM sums{turn} WHERE upto >= goal AND upto - words < goal),
+range{turn} AS (
+  SELECT s.key, s.floor, s.most, c.cut, c.with_it, c.rest FROM state{turn} s LEFT JOIN cut{turn} c USING (key)),
+state{turn + 1} AS (
+  SELECT key, cut AS floor, floor(rest)::BIGINT AS most, rest AS goal FROM range{turn} WHERE cut IS NOT NULL AND rest > 0)""")
+    ranges = " UNION ALL ".join(f"SELECT * FROM range{turn}" for turn in range(rounds))
+    parts.append(f"""
+ranges AS ({ranges})""")
+    return (
+        "WITH "
+        + ",".join(parts)
+        + """
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN EXISTS (
+          SELECT 1 FROM ranges r
+          WHERE r.key = d.key AND d.hash > r.floor AND d.size <= r.most
+            AND (r.cut IS NULL OR d.hash < r.cut OR (d.hash = r.cut AND r.with_it))) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sizes d JOIN wholes USING (key)"""
+    )
+
+
+ORACLE: dict[str, str] = {"op9_mixing": _mixing()}
