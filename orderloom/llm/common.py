@@ -26,6 +26,14 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column has."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").split()
 

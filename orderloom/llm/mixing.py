@@ -14,24 +14,15 @@ DIGITS, ALL_DIGITS = 3, 15
 ROUNDS = 3
 
 
-def _source_key() -> Column:
-    """A key that tells the null source from all others and joins as text."""
-    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-
-
-def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source``, its ``key``, ``size`` in words, the row's ``hash`` and a ``salt`` of it."""
-    slim = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-        F.col("source").cast("string").alias("source"),
-    )
-    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
-    return slim.select(
-        "doc_id",
-        "source",
-        _source_key().alias("key"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+def _sized(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The columns, the source's ``key``, ``size`` in words, the row's ``hash`` and a
+    ``salt`` of it."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text)
+    return docs.select(
+        *columns,
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("key"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.substring(F.md5(named), 1, ALL_DIGITS).alias("hash"),
     ).withColumn("salt", F.conv(F.substring("hash", ALL_DIGITS, 1), 16, 10).cast("int"))
 
@@ -124,34 +115,51 @@ def _chosen(sizes: DataFrame, goals: DataFrame, rounds: int) -> DataFrame:
     return ranges.groupBy("key").agg(F.collect_list(F.struct("floor", "most", "cut", "with_it")).alias("ranges"))
 
 
+def _plan(sizes: DataFrame, weights: tuple[int, ...], most: int, rounds: int) -> DataFrame:
+    goals = staged(_goals(sizes, weights, most), "targets")
+    return _salted(goals.join(_chosen(sizes, goals, rounds), "key", "left"))
+
+
+def _copies() -> Column:
+    """How often a row is taken, by its source's plan."""
+    taken = F.exists(
+        "ranges",
+        lambda r: (F.col("hash") > r["floor"])
+        & (F.col("size") <= r["most"])
+        & (r["cut"].isNull() | (F.col("hash") < r["cut"]) | ((F.col("hash") == r["cut"]) & r["with_it"])),
+    )
+    return F.col("whole") + F.coalesce(taken, F.lit(False)).cast("long")
+
+
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, rounds: int = ROUNDS
 ) -> DataFrame:
     """Words the mix takes of every document.
 
-    Returns ``doc_id``, ``size`` (0 for null and blank texts), ``source_size``,
-    ``target`` (of its source), ``copies``, ``taken`` = size times copies, ``source``
-    and ``hash``. A source takes all its documents as often as they fit whole, and
+    Returns ``doc_id``, ``source``, ``size`` (0 for null and blank texts),
+    ``source_size``, ``target`` (of its source), ``copies`` and ``taken`` = size
+    times copies. A source takes all its documents as often as they fit whole, and
     some, told by hash thresholds, once more. The hash is of id and text, so reruns
     agree, and equal rows go together. No rows for no documents.
     """
-    sizes = staged(sized(docs), "sizes")
-    goals = staged(_goals(sizes, weights, most), "targets")
-    plan = _salted(goals.join(_chosen(sizes, goals, rounds), "key", "left"))
-    taken = F.exists(
-        "ranges",
-        lambda r: (F.col("hash") > r["floor"])
-        & (F.col("size") <= r["most"])
-        & (r["cut"].isNull() | (F.col("hash") < r["cut"]) | ((F.col("hash") == r["cut"]) & r["with_it"])),
-    )
-    copies = (F.col("whole") + F.coalesce(taken, F.lit(False)).cast("long")).alias("copies")
-    return (
-        sizes.join(plan, ["key", "salt"])
-        .select("doc_id", "size", "source_size", "target", copies, "source", "hash")
-        .withColumn("taken", F.col("size") * F.col("copies"))
+    columns = F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source")
+    sizes = staged(_sized(docs, *columns), "sizes")
+    rows = sizes.join(_plan(sizes, weights, most, rounds), ["key", "salt"])
+    return rows.select("doc_id", "source", "size", "source_size", "target", _copies().alias("copies")).withColumn(
+        "taken", F.col("size") * F.col("copies")
     )
 
 
+def mixed(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, rounds: int = ROUNDS
+) -> DataFrame:
+    """The documents that ``mix`` takes, each as often as it takes it, all columns kept."""
+    sizes = staged(_sized(docs, F.col("source").cast("string").alias("source")), "sizes")
+    whole = _sized(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_"))
+    rows = whole.join(_plan(sizes, weights, most, rounds), ["key", "salt"])
+    return rows.select("doc_", F.explode(F.array_repeat(F.lit(0), _copies().cast("int")))).select("doc_.*")
+
+
 def _goals(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     goals = targets(sizes, weights, most)
     size = F.greatest("source_size", F.lit(1))

@@ -230,8 +230,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return fit(matrix, np.array(rows.column("quality").to_pylist(), float))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents, all columns kept, with ``score_`` between 0 and 1.
+def scored(docs: DataFrame, model: Model, name: str = "score_") -> DataFrame:
+    """The documents, all columns kept, with a score between 0 and 1 under the name.
 
     Null and blank texts are scored like any other; repeated rows each.
     """
@@ -241,4 +241,4 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         rows = np.array([text_features(t) for t in texts], float).reshape(-1, len(FEATURES))
         return type(texts)(model.score(rows))
 
-    return docs.withColumn("score_", score(F.col("text").cast("string")))
+    return docs.withColumn(name, score(F.col("text").cast("string")))

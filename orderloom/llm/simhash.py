@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import components, staged, words
@@ -64,19 +62,14 @@ def simhash(texts: list, shingle: int = SHINGLE) -> np.ndarray:
     return prints
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``print`` (the 64 bits as a signed long) of every document.
+def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
+    """The 64 bits, as a signed long, of a text; null and blank ones have zero."""
 
-    Null and blank texts have fingerprint zero; repeated rows stay repeated.
-    """
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = simhash(batch.column("text").to_pylist(), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], ["doc_id", "print"])
+    @F.pandas_udf("long")
+    def of(texts):
+        return type(texts)(simhash(texts.tolist(), shingle).view(np.int64))
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(of, "doc_id long, print long")
+    return of(text.cast("string"))
 
 
 def _masks(distance: int) -> list[int]:
@@ -148,6 +141,16 @@ def links(prints: DataFrame, distance: int = DISTANCE, paired_at_most: int = PAI
     return pairs.union(bridged).distinct()
 
 
+def _grouped(prints: DataFrame, distance: int, paired_at_most: int) -> DataFrame:
+    """Adds ``component_id`` to rows with ``doc_id`` and ``print``."""
+    classes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
+    linked = staged(links(classes.select("print"), distance, paired_at_most), "links")
+    roots = components(linked).select(F.col("node").alias("print"), "root")
+    rooted = classes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(rooted.join(named, "root").select("print", "root", "component_id"), "print")
+
+
 def near_duplicates(
     docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, paired_at_most: int = PAIRED_AT_MOST
 ) -> DataFrame:
@@ -155,13 +158,26 @@ def near_duplicates(
 
     Documents with equal fingerprints are one class; classes within the distance
     are linked, and a component has the smallest ``doc_id`` among all it reaches
-    (null only if none of them has one). No rows for no documents.
+    (null only if none of them has one). Repeated rows stay repeated. No rows for
+    no documents.
     """
-    prints = staged(fingerprints(docs, shingle), "prints")
-    classes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
-    linked = staged(links(classes.select("print"), distance, paired_at_most), "links")
-    roots = components(linked).select(F.col("node").alias("print"), "root")
-    rooted = classes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = rooted.join(named, "root").select("print", "component_id")
-    return prints.join(members, "print").select("doc_id", "print", "component_id")
+    printed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint(F.col("text"), shingle).alias("print"))
+    return _grouped(staged(printed, "prints"), distance, paired_at_most).select("doc_id", "print", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, paired_at_most: int = PAIRED_AT_MOST
+) -> DataFrame:
+    """One document of each component, all columns kept: the one with the smallest
+    ``doc_id``, null last, and one only of rows with that id."""
+    whole = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"),
+        fingerprint(F.col("text"), shingle).alias("print"),
+    )
+    printed = staged(whole, "printed")  # row numbers stay as they are written
+    grouped = _grouped(printed.select("doc_id", "row", "print"), distance, paired_at_most)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = grouped.groupBy("root").agg(first).select(F.col("first.row").alias("row"))
+    return printed.join(kept, "row", "left_semi").select("doc_.*")
