@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import mixing, packing, pii, quality, simhash, substrings
+from orderloom.llm import chat, crf, hnsw, mixing, packing, pii, quality, simhash, substrings, topk
 from orderloom.llm.common import table
 
 
@@ -42,6 +42,15 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_products(table(spark, folder, "embeddings"))
+
+
+def op4_chat_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    spans = F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return chat.rotated(table(spark, folder, "conversations")).withColumn("mask", F.array_join(spans, ","))
+
+
 def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(
@@ -49,6 +58,10 @@ def op5_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.nearest_neighbours(table(spark, folder, "embeddings"))
+
+
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents"))
     counts = [
@@ -63,6 +76,10 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_crf_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return crf.extract(table(spark, folder, "pages"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -76,8 +93,12 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op3_exact_topk": op3_exact_topk,
+    "op4_chat_rotation": op4_chat_rotation,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_hnsw": op6_hnsw,
     "op7_pii": op7_pii,
+    "op8_crf_extraction": op8_crf_extraction,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
 }

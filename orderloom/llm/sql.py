@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderloom.llm import mixing
+from orderloom.llm import chat, mixing, topk
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -70,4 +70,53 @@ FROM sizes d JOIN wholes USING (key)"""
     )
 
 
-ORACLE: dict[str, str] = {"op9_mixing": _mixing()}
+def _chat(part_turns: int = chat.PART_TURNS) -> str:
+    """Turns joined to speakers, then text and spans gathered in order."""
+    return f"""
+WITH turns AS (
+  SELECT conv_id, floor(turn / {part_turns}.0)::BIGINT AS part, turn, coalesce(role, '{chat.UNNAMED}') AS role,
+         replace(coalesce(text, ''), '<|', '<\\|') AS text
+  FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> '{chat.SYSTEM}'),
+seen AS (
+  SELECT t.conv_id, s.speaker, t.part, t.turn, t.role, t.text, t.role = s.speaker AS own,
+         '{chat.OPEN}' || CASE WHEN t.role = s.speaker THEN 'assistant' WHEN t.role = '{chat.SYSTEM}' THEN t.role
+                          ELSE 'user name=' || t.role END || chr(10) AS head,
+         t.text || '{chat.CLOSE}' AS body,
+         row_number() OVER (PARTITION BY t.conv_id, s.speaker, t.part ORDER BY t.turn NULLS LAST, t.role, t.text) AS place
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+    PARTITION BY conv_id, speaker, part ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begun
+  FROM seen),
+parts AS (
+  SELECT conv_id, speaker, part, count(*) AS turns, string_agg(head || body || chr(10), '' ORDER BY place) AS text,
+         coalesce(string_agg(begun::BIGINT::VARCHAR || ':' || (begun + length(body))::BIGINT::VARCHAR, ',' ORDER BY place)
+                  FILTER (own), '') AS mask
+  FROM placed GROUP BY ALL)
+SELECT conv_id, speaker, part, turns, text, mask, coalesce(sum(length(text)) OVER (
+  PARTITION BY conv_id, speaker ORDER BY part NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+FROM parts"""
+
+
+def _top_products() -> str:
+    """All products of queries and rows, ranked."""
+    return f"""
+WITH usable AS (
+  SELECT vec_id, [floor({topk.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_inner_product(q.vector::DOUBLE[], c.vector::DOUBLE[])::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.vector) = len(c.vector)
+  WHERE q.vec_id % {topk.QUERY_STRIDE} = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= {topk.K}"""
+
+
+ORACLE: dict[str, str] = {
+    "op3_exact_topk": _top_products(),
+    "op4_chat_rotation": _chat(),
+    "op9_mixing": _mixing(),
+}
