@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.functions.text import parse_day
+from orderloom.operators import slots
 from orderloom.plans import bundle, loads
 from orderloom.plans.params import ReportParams
 from orderloom.session import SETTINGS
@@ -15,6 +18,9 @@ from orderloom.sources import pages as P
 from orderloom.sources.tables import read_table
 
 
+KINDS = {"sales": P.SALES, "purchases": P.PURCHASE, "orders": P.ORDER}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="orderloom")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -36,12 +42,21 @@ def parser() -> argparse.ArgumentParser:
         load.add_argument("--pages", required=True)
         load.add_argument("--table", required=True, help="path of the stored table")
         load.add_argument("--checkpoint", help="load only pages landed since the last run")
+        load.add_argument("--rejects", help="folder for refused pages and rows without a key")
         if name != "orders":
             load.add_argument("--warehouse-no", action="append")
         if name == "sales":
             load.add_argument("--header-table", required=True)
         if name == "purchases":
             load.add_argument("--load", help="name of the load, needed without a checkpoint")
+        else:
+            load.add_argument("--keys-stay", action="store_true", help="a key never changes its month")
+
+    check = jobs.add_parser("check-pages", help="what has landed of each request window")
+    check.add_argument("--kind", choices=sorted(KINDS), required=True)
+    check.add_argument("--pages", required=True)
+    check.add_argument("--out", required=True, help="folder of the windows that are not complete")
+    check.add_argument("--as-of", type=parse_day, help="also list hours of the back-fill nobody asked for")
     return top
 
 
@@ -64,31 +79,40 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
     """All pages below the folder or, with a checkpoint, those not loaded yet."""
-    if args.job == "load-sales":
-        kind = P.SALES
-
-        def load(session, pages, _):
-            loads.load_sales(session, pages, args.header_table, args.table, args.warehouse_no)
-
-    elif args.job == "load-purchases":
-        kind = P.PURCHASE
-
-        def load(session, pages, name):
-            loads.load_purchases(session, pages, args.table, name, args.warehouse_no)
-
-    else:
-        kind = P.ORDER
-
-        def load(session, pages, _):
-            loads.load_orders(session, pages, args.table)
+    kind = KINDS[args.job.removeprefix("load-")]
+
+    def load(session: SparkSession, pages: DataFrame, name: str) -> None:
+        rejects = args.rejects and f"{args.rejects}/load={name}"
+        if kind is P.SALES:
+            loads.load_sales(
+                session, pages, args.header_table, args.table, args.warehouse_no, rejects, not args.keys_stay
+            )
+        elif kind is P.PURCHASE:
+            run = None if args.checkpoint else loads.run_name(pages)
+            loads.load_purchases(session, pages, args.table, name, args.warehouse_no, rejects, run)
+        else:
+            loads.load_orders(session, pages, args.table, rejects, not args.keys_stay)
 
     if args.checkpoint:
         loads.load_landed(spark, args.pages, kind, args.checkpoint, load)
     else:
-        load(spark, P.read_pages(spark, args.pages, kind), getattr(args, "load", None))
+        pages = P.read_pages(spark, args.pages, kind)
+        load(spark, pages, getattr(args, "load", None) or loads.run_name(pages))
+
+
+def run_check(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Writes the windows that are not complete; 1 if there are any, else 0."""
+    kind = KINDS[args.kind]
+    windows = P.page_completeness(P.read_pages(spark, args.pages, kind), kind)
+    if args.as_of:
+        asked = slots.hourly_slots(spark, args.as_of).withColumnRenamed("slot", "start_time")
+        missing = asked.join(windows, "start_time", "left_anti").withColumn("complete", F.lit(False))
+        windows = windows.unionByName(missing, allowMissingColumns=True)
+    windows.where(~F.col("complete")).write.mode("overwrite").parquet(args.out)
+    return int(not spark.read.parquet(args.out).isEmpty())
 
 
-def main(arguments: Sequence[str] | None = None) -> None:
+def main(arguments: Sequence[str] | None = None) -> int:
     top = parser()
     args = top.parse_args(arguments)
     if args.job == "load-purchases" and not (args.checkpoint or args.load):
@@ -97,8 +121,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    if args.job == "check-pages":
+        return run_check(spark, args)
     run_report(spark, args) if args.job == "report" else run_load(spark, args)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

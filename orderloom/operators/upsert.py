@@ -1,12 +1,14 @@
 """Changing stored tables by key.
 
 Plain Parquet has no MERGE. An upsert is an anti join of the stored rows with
-the batch plus the batch itself. The batch is the small side: when its keys
-stay below the broadcast threshold the stored rows are not shuffled at all.
+the batch plus the winners of each key. The batch is the small side of all these
+joins: when its keys stay below the broadcast threshold the stored rows are not
+shuffled at all.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderloom.session import staging_path
+from orderloom.session import remove, staging_path
 
 
 def latest_per_key(
@@ -63,6 +65,25 @@ def known_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     return batch.join(_key_side(target, keys), _same_key(keys), "left_semi")
 
 
+def fresh_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the batch whose key is not stored yet, for a target much larger.
+
+    Stored keys are first cut down to those of the batch, so that a small batch
+    is broadcast and the stored keys stay where they are read.
+    """
+    return unknown_rows(batch, known_rows(target.select(*keys), batch, keys), keys)
+
+
+def keyed(keys: Sequence[str]) -> Column:
+    """No part of the key is NULL."""
+    return reduce(lambda a, b: a & b, (F.col(key).isNotNull() for key in keys))
+
+
+def total_order(rows: DataFrame, newest_first: Sequence[Column]) -> list[Column]:
+    """The order, with ties broken by all values, so that no tie is left to chance."""
+    return [*newest_first, F.xxhash64(*sorted(rows.columns))]
+
+
 def stored_keys(target: DataFrame, keys: Sequence[str]) -> DataFrame:
     return target.select(*keys).distinct()
 
@@ -84,14 +105,14 @@ def append_new(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Data
 
     The key is that of a document: all lines of a new one enter.
     """
-    return target.unionByName(unknown_rows(batch, target, keys).select(*target.columns))
+    return target.unionByName(fresh_rows(batch, target, keys).select(*target.columns))
 
 
 def insert_ignore(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], oldest_first: Sequence[Column]
 ) -> DataFrame:
     """Stored rows plus the first batch row of each key not stored yet."""
-    fresh = latest_per_key(unknown_rows(batch, target, keys), keys, oldest_first)
+    fresh = latest_per_key(fresh_rows(batch, target, keys), keys, oldest_first)
     return target.unionByName(fresh.select(*target.columns))
 
 
@@ -121,68 +142,89 @@ def upsert_table(
     partition: str,
     keys_move: bool = True,
 ) -> None:
-    """Upsert into a partitioned Parquet table, rewriting touched partitions only.
+    """Upsert into a partitioned Parquet table, reading and rewriting touched
+    partitions only.
 
     Touched are the partitions the batch writes to and those its keys are
     stored in. Finding the latter reads the stored keys; ``keys_move=False``
     spares that where a key never changes its partition. The partition column
     is a plain text, such as a month.
 
+    Stored rows compete with those of the batch: ``newest_first`` decides, ties
+    go by all values, so the table does not depend on how its rows were split
+    into batches or in which order these came.
+
     Merged rows go to a staging folder before the table is written, and the
     table is marked while its partitions are replaced: a run that breaks off
     there is finished by the next one from the staged rows. A run that breaks
     off earlier has changed nothing. Staging folders belong to the table, which
     takes one load at a time.
     """
+    path = path.rstrip("/")
     finish_replacing(spark, path, partition)
-    stage = {name: staging_path(spark, path, name) for name in ("batch", "touched", "merged")}
-    latest_per_key(batch, keys, newest_first).write.mode("overwrite").parquet(stage["batch"])
+    stage = {name: staging_path(path, name) for name in ("batch", "touched", "merged")}
+    sent = latest_per_key(batch, keys, total_order(batch, newest_first))
+    sent.write.mode("overwrite").parquet(stage["batch"])
     latest = spark.read.parquet(stage["batch"])
     if latest.isEmpty():
+        remove(spark, stage["batch"])
         return
     target = stored_table(spark, path, latest.schema)
-    if target is None:
-        write_partitions(latest, path, partition)
-        return
     touched = latest.select(partition)
     if keys_move:
         stored = known_rows(target.select(*keys, partition), latest, keys)
         touched = touched.union(stored.select(partition))
-    touched.distinct().write.mode("overwrite").parquet(stage["touched"])
-    rewritten = target.join(spark.read.parquet(stage["touched"]), partition, "left_semi")
-    kept = unknown_rows(rewritten.select(*latest.columns), latest, keys)
-    kept.unionByName(latest).write.mode("overwrite").parquet(stage["merged"])
+    # Names of partitions, of which a table has a bounded number.
+    names = sorted(row[0] for row in touched.distinct().collect())
+    if odd := [name for name in names if not name or not PLAIN_NAME.fullmatch(name)]:
+        raise ValueError(f"{partition} cannot name a folder: {odd[:3]}")
+    # A list of names reaches the scan as a partition filter.
+    old = target.where(F.col(partition).isin(names)).select(*latest.columns)
+    rivals = known_rows(old, latest, keys).unionByName(latest)
+    winners = latest_per_key(rivals, keys, total_order(latest, newest_first))
+    merged = unknown_rows(old, latest, keys).unionByName(winners)
+    merged.write.mode("overwrite").parquet(stage["merged"])
+    spark.createDataFrame([(n,) for n in names], f"`{partition}` STRING").write.mode("overwrite").parquet(
+        stage["touched"]
+    )
     _mark(spark, path, REPLACING)
     finish_replacing(spark, path, partition)
 
 
 REPLACING, WHOLE = "replacing", "whole"
+PLAIN_NAME = re.compile(r"[\w.-]+")
 
 
 def _mark(spark: SparkSession, path: str, state: str) -> None:
     row = spark.range(1, numPartitions=1).select(F.lit(state).alias("state"))
-    row.write.mode("overwrite").text(staging_path(spark, path, "state"))
+    row.write.mode("overwrite").text(staging_path(path, "state"))
 
 
-def finish_replacing(spark: SparkSession, path: str, partition: str) -> None:
-    """Replace the touched partitions by the staged rows if the table is marked so."""
+def _noted(spark: SparkSession, path: str) -> str | None:
+    """The line of a note in a folder, None where there is no note."""
     try:
-        state = spark.read.text(staging_path(spark, path, "state")).first()
+        row = spark.read.text(path).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        state = None
-    if state is None or state.value != REPLACING:
+        return None
+    return row and row.value
+
+
+def finish_replacing(spark: SparkSession, path: str, partition: str) -> None:
+    """Replace the touched partitions by the staged rows if the table is marked so."""
+    path = path.rstrip("/")
+    if _noted(spark, staging_path(path, "state")) != REPLACING:
         return
-    staged = spark.read.parquet(staging_path(spark, path, "merged"))
-    touched = spark.read.parquet(staging_path(spark, path, "touched"))
+    staged = spark.read.parquet(staging_path(path, "merged"))
+    touched = spark.read.parquet(staging_path(path, "touched"))
     write_partitions(staged, path, partition)
-    # Partitions all rows have moved out of: a handful of months at most.
-    left = touched.join(staged.select(partition).distinct(), partition, "left_anti")
-    for row in left.collect():
-        none = staged.drop(partition).limit(0)
-        none.write.mode("overwrite").parquet(f"{path}/{partition}={row[0]}")
+    # Partitions all rows have moved out of.
+    for row in touched.join(staged.select(partition).distinct(), partition, "left_anti").collect():
+        remove(spark, f"{path}/{partition}={row[0]}")
     _mark(spark, path, WHOLE)
+    for name in ("batch", "touched", "merged"):
+        remove(spark, staging_path(path, name))
 
 
 def append_table(
@@ -192,17 +234,26 @@ def append_table(
     keys: Sequence[str],
     load: str,
     partition: str | None = None,
+    run: str | None = None,
 ) -> None:
     """Write the batch rows of keys not stored yet to a folder of this load.
 
     A load that is run again replaces its own folder and does not count its
-    earlier rows as stored, so a document never enters by halves. Each load
-    needs a name of its own.
+    earlier rows as stored, so a document never enters by halves. ``run`` tells
+    what a load reads; a name that another run has taken is refused.
     """
+    path = path.rstrip("/")
+    note, run = f"{path}/_loads/{load}", run or load
+    taken = _noted(spark, note)
+    if taken not in (None, run):
+        raise ValueError(f"load {load} has been used for other pages")
     schema = batch.select(*keys).schema.add("load", "string")
     known = stored_table(spark, path, schema)
     if known is not None:
-        batch = unknown_rows(batch, known.where(F.col("load") != load), keys)
+        if taken is None and not known.where(F.col("load") == load).isEmpty():
+            raise ValueError(f"load {load} is there, without a note of what it read")
+        batch = fresh_rows(batch, known.where(F.col("load") != load), keys)
+    spark.range(1, numPartitions=1).select(F.lit(run)).write.mode("overwrite").text(note)
     if partition is None:
         batch.write.mode("overwrite").parquet(f"{path}/load={load}")
     else:
@@ -211,7 +262,7 @@ def append_table(
 
 
 def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The table at this path, or None where nothing has been written yet."""
+    """The table at this path, or None where there is no such folder."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

@@ -409,15 +409,17 @@ ORACLE: dict[str, str] = {
       WITH {LINES} SELECT CAST(errorcode AS VARCHAR) AS errorcode, l_linenumber AS page_no, count(*) AS pages
       FROM rows WHERE errorcode IS NULL OR errorcode <> 0 GROUP BY ALL""",
     "page_completeness": f"""
-      WITH days AS (SELECT o_orderdate AS d, count(*) AS declared FROM orders GROUP BY 1),
-      landed AS (SELECT o_orderdate AS d, count(*) AS landed,
-                   count(DISTINCT o_orderkey // 100) AS pages
-                 FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY 1)
+      WITH days AS (
+        SELECT o_orderdate AS d, count(*) AS total,
+          count(*) FILTER (o_orderpriority <> '1-URGENT') AS landed,
+          count(DISTINCT o_orderkey // 100) FILTER (o_orderpriority <> '1-URGENT') AS pages
+        FROM orders GROUP BY 1),
+      seen AS (SELECT *, CASE WHEN landed > 0 THEN total END AS declared FROM days)
       SELECT 's1' AS sid, strftime(d, {SECOND}) AS start_time,
         strftime(d + INTERVAL 1 DAY, {SECOND}) AS end_time, declared, landed, pages,
         CAST(ceil(declared / 100.0) AS BIGINT) AS expected_pages,
-        landed >= declared AND pages >= ceil(declared / 100.0) AS complete
-      FROM landed JOIN days USING (d)""",
+        coalesce(landed >= declared AND pages >= ceil(declared / 100.0), FALSE) AS complete
+      FROM seen""",
     "hourly_spine_counts": f"""
       WITH spine AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-31',
                        TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS slot),
@@ -671,6 +673,24 @@ ORACLE: dict[str, str] = {
     "report_purchases": purchases_sql(Q.MONTH),
     "empty_placeholder": f"SELECT '{Q.bundle.empty_message(Q.MONTH)}' AS message",
 }
+_ALLOWED = f"AND 'wh-' || l_suppkey IN {listed(Q.ALLOWED)}"
+for _name in ("flatten_sales_detail", "flatten_purchase_detail"):
+    ORACLE[_name + "_allowed"] = f"{ORACLE[_name]} {_ALLOWED}"
+ORACLE["left_join_header_fanout"] = f"""
+  SELECT {LINE_KEY} AS detail_rec_id, CAST(l_orderkey AS VARCHAR) AS trade_no, remark AS cs_remark
+  FROM lineitem LEFT JOIN (
+    SELECT o_orderkey, o_orderpriority AS remark FROM orders
+    UNION ALL SELECT o_orderkey, 'second' FROM orders WHERE o_orderpriority = '2-HIGH')
+  ON l_orderkey = o_orderkey"""
+ORACLE["load_purchases_pages"] = ORACLE["flatten_purchase_detail"]
+_NEWEST = ORDER_VALUES | {
+    "trade_status": f"CASE WHEN o_orderstatus = 'F' THEN 'newer' ELSE {ORDER_VALUES['trade_status']} END",
+    "modified": "strftime(o_orderdate + CASE WHEN o_orderstatus = 'F' THEN INTERVAL 1 DAY "
+    f"ELSE INTERVAL 0 DAY END, {SECOND})",
+}
+ORACLE["load_orders_pages"] = f"""
+  SELECT {projection(S.ORDER_COLUMNS, S.ORDER_FIELDS, _NEWEST)}
+  FROM orders WHERE o_orderpriority <> '1-URGENT'"""
 ORACLE["stream_upsert"] = ORACLE["upsert_orders"]
 ORACLE["stream_hourly_counts"] = ORACLE["hourly_counts"]
 

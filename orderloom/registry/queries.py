@@ -18,7 +18,7 @@ from orderloom.functions import classify, decode, text
 from orderloom.operators import aggregates as A
 from orderloom.operators import filters, flatten, joins, slots
 from orderloom.operators import upsert as U
-from orderloom.plans import bundle
+from orderloom.plans import bundle, loads
 from orderloom.plans import reports as R
 from orderloom.plans.params import ReportParams
 from orderloom.session import scratch_path
@@ -127,8 +127,7 @@ def envelope_rejects(spark, folder):
 
 @query
 def page_completeness(spark, folder):
-    pages = P.valid_pages(D.parsed_pages(spark, folder, "order"))
-    return plain(P.page_completeness(pages, P.ORDER))
+    return plain(P.page_completeness(D.parsed_pages(spark, folder, "order"), P.ORDER))
 
 
 @query
@@ -191,6 +190,21 @@ def flatten_purchase_detail(spark, folder):
     return plain(flatten.purchase_lines(_good(spark, folder, "purchase")).drop(*flatten.ORIGIN))
 
 
+ALLOWED = ("wh-1", "wh-2", "wh-3", "wh-5", "wh-8")
+
+
+@query
+def flatten_sales_detail_allowed(spark, folder):
+    docs = flatten.shipped_documents(_good(spark, folder, "sales"), ALLOWED)
+    return plain(flatten.sales_lines(docs).drop(*flatten.ORIGIN))
+
+
+@query
+def flatten_purchase_detail_allowed(spark, folder):
+    lines = flatten.purchase_lines(_good(spark, folder, "purchase"), ALLOWED)
+    return plain(lines.drop(*flatten.ORIGIN))
+
+
 @query
 def flatten_orders(spark, folder):
     return plain(flatten.orders(_good(spark, folder, "order")).drop(*flatten.ORIGIN))
@@ -278,6 +292,15 @@ def left_join_header(spark, folder):
     return joins.with_header(lines, D.sales_header(spark, folder), ["cs_remark"])
 
 
+@query
+def left_join_header_fanout(spark, folder):
+    """Trades of high priority have a second header, which repeats their lines."""
+    lines = D.sales_detail(spark, folder).select("detail_rec_id", "trade_no")
+    headers = D.sales_header(spark, folder).select("trade_no", "cs_remark")
+    second = headers.where("cs_remark = '2-HIGH'").withColumn("cs_remark", F.lit("second"))
+    return joins.with_header(lines, headers.union(second), ["cs_remark"], fanout=True)
+
+
 @query
 def left_join_dim(spark, folder):
     lines = D.sales_detail(spark, folder).select("detail_rec_id", "detail_spec_no")
@@ -694,9 +717,10 @@ def stream_upsert(spark, folder):
     target, _ = _order_sides(spark, folder)
     U.write_partitions(target, f"{base}/table", "trade_month")
     stream = jobs.stream_table(spark, folder, "orders.parquet")
+    # Of equally old copies the dearer one, which is the one sent, counts.
     jobs.upsert_stream(
         stream, f"{base}/table", f"{base}/checkpoint", S.ORDER_KEY,
-        lambda: [F.desc("modified")], "trade_month",
+        lambda: [F.desc("modified"), F.desc("paid")], "trade_month",
         lambda batch: D.sent(D.order_rows(batch), "trade_time", "paid"),
     )
     return plain(spark.read.schema(target.schema).parquet(f"{base}/table"))
@@ -704,15 +728,59 @@ def stream_upsert(spark, folder):
 
 @query
 def stream_dedupe(spark, folder):
+    """All events land twice, in files of several batches."""
     base = scratch_path(spark, "stream-dedupe")
-    events = jobs.stream_table(spark, folder, "events.parquet")
+    events = D.events(spark, folder)
+    for _ in range(2):
+        events.repartition(3, "event_id").write.mode("append").parquet(f"{base}/landed")
     jobs.dedupe_stream(
-        events.union(jobs.stream_table(spark, folder, "events.parquet")),
+        jobs.stream_table(spark, f"{base}/landed", files_per_batch=2),
         f"{base}/table", f"{base}/checkpoint", ["event_id"], lambda: [F.desc("ts")],
     )
     return plain(spark.read.parquet(f"{base}/table").drop("load"))
 
 
+# Loads ------------------------------------------------------------------------
+
+def _day_later(days: int) -> str:
+    return f"date_format(o_orderdate + interval '{days}' day, '{D.STAMP}')"
+
+
+@query
+def load_orders_pages(spark, folder):
+    """Finished orders land in a newer state first, then all as they were, then
+    open ones in an older state; refused pages are set aside."""
+    base = scratch_path(spark, "load-orders")
+    newer = {"trade_status": "'newer'", "modified": _day_later(1)}
+    older = {"trade_status": "'older'", "modified": _day_later(-1)}
+    for pages in (
+        D.order_pages(spark, folder, "o_orderstatus = 'F'", newer),
+        D.order_pages(spark, folder),
+        D.order_pages(spark, folder, "o_orderstatus = 'O'", older),
+    ):
+        pages.repartition(2).write.mode("append").text(f"{base}/pages")
+
+    def load(session, pages, name):
+        loads.load_orders(session, pages, f"{base}/table", f"{base}/rejects/load={name}")
+
+    loads.load_landed(spark, f"{base}/pages", P.ORDER, f"{base}/checkpoint", load, files_per_batch=2)
+    return plain(spark.read.parquet(f"{base}/table").drop(*flatten.ORIGIN, S.TRADE_MONTH))
+
+
+@query
+def load_purchases_pages(spark, folder):
+    """Receipts land, are loaded, and land again with other lines."""
+    base = scratch_path(spark, "load-purchases")
+
+    def load(session, pages, name):
+        loads.load_purchases(session, pages, f"{base}/table", name, None, f"{base}/rejects/load={name}")
+
+    for again in (False, True):
+        D.purchase_pages(spark, folder, again).write.mode("append").text(f"{base}/pages")
+        loads.load_landed(spark, f"{base}/pages", P.PURCHASE, f"{base}/checkpoint", load)
+    return plain(spark.read.parquet(f"{base}/table").drop(*flatten.ORIGIN, S.STOCKIN_MONTH, "load"))
+
+
 @query
 def stream_hourly_counts(spark, folder):
     base = scratch_path(spark, "stream-counts")

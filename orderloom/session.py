@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import hashlib
 import tempfile
 import uuid
 
@@ -59,7 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staging_path(spark: SparkSession, table: str, name: str) -> str:
-    """The path below the shared folder that loads of a table stage rows in."""
-    mark = hashlib.sha256(table.encode()).hexdigest()[:16]
-    return f"{shared_folder(spark)}/staging-{mark}-{name}"
+def staging_path(table: str, name: str) -> str:
+    """The path that loads of a table stage rows in, below the table itself.
+
+    Readers skip folders with an underscore, and whoever finds the table finds
+    what a broken run has left, on any machine and however the path is written.
+    """
+    return f"{table.rstrip('/')}/_staging/{name}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged rows, or a partition that is to be empty."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -21,6 +21,7 @@ class PageKind:
     list_field: str
     page_size: int
     document: str
+    key: str
 
     @property
     def schema(self) -> StructType:
@@ -31,13 +32,15 @@ SALES = PageKind(
     "stockout_list",
     V.SALES_PAGE_SIZE,
     S.struct_ddl(S.SALES_DOCUMENT_FIELDS, S.SALES_LINE_FIELDS),
+    "stockout_id",
 )
 PURCHASE = PageKind(
     "stockin_list",
     V.PURCHASE_PAGE_SIZE,
     S.struct_ddl(S.PURCHASE_DOCUMENT_FIELDS, S.PURCHASE_LINE_FIELDS),
+    "stockin_id",
 )
-ORDER = PageKind("trades", V.ORDER_PAGE_SIZE, S.struct_ddl(S.ORDER_FIELDS))
+ORDER = PageKind("trades", V.ORDER_PAGE_SIZE, S.struct_ddl(S.ORDER_FIELDS), "trade_id")
 
 JSON_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -46,21 +49,25 @@ JSON_OPTIONS = {
 }
 
 
+def _with_arrival(pages: DataFrame) -> DataFrame:
+    return pages.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_path").alias("source"),
+    )
+
+
 def read_pages(spark: SparkSession, path: str, kind: PageKind) -> DataFrame:
-    """All landed pages below a folder, as one frame."""
-    return spark.read.schema(kind.schema).options(**JSON_OPTIONS).json(path)
+    """All landed pages below a folder, with the file they came in and its time."""
+    return _with_arrival(spark.read.schema(kind.schema).options(**JSON_OPTIONS).json(path))
 
 
 def stream_pages(
     spark: SparkSession, path: str, kind: PageKind, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Pages as they land."""
-    return (
-        spark.readStream.schema(kind.schema)
-        .options(**JSON_OPTIONS)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(path)
-    )
+    """Pages as they land, with the file they came in and its time."""
+    stream = spark.readStream.schema(kind.schema).options(**JSON_OPTIONS)
+    return _with_arrival(stream.option("maxFilesPerTrigger", files_per_batch).json(path))
 
 
 def parse_pages(table: DataFrame, body: str, kind: PageKind) -> DataFrame:
@@ -74,23 +81,31 @@ def parse_pages(table: DataFrame, body: str, kind: PageKind) -> DataFrame:
 
 
 def accepted() -> Column:
-    """The envelope carries an error code and it is 0."""
-    return F.coalesce(F.col("response.errorcode") == 0, F.lit(False))
+    """The envelope carries the error code 0 and no field of the page is malformed.
+
+    A number or time that does not parse, zero dates included, refuses the page:
+    read as NULL it would drop out of every report unseen.
+    """
+    return F.coalesce(F.col("response.errorcode") == 0, F.lit(False)) & F.col("corrupt").isNull()
+
+
+def reason() -> Column:
+    """Why a page is refused."""
+    code = F.coalesce(F.col("response.errorcode").cast("string"), F.lit("missing"))
+    broken = F.col("corrupt").isNotNull() & F.coalesce(F.col("response.errorcode") == 0, F.lit(False))
+    return F.when(broken, F.lit("malformed")).otherwise(F.concat(F.lit("error code "), code))
 
 
 def valid_pages(pages: DataFrame, strict: bool = False) -> DataFrame:
-    """Pages with a good envelope. ``strict`` fails the job on any other."""
+    """Accepted pages. ``strict`` fails the job on any other."""
     if not strict:
         return pages.where(accepted())
-    message = F.concat(
-        F.lit("page refused, error code "),
-        F.coalesce(F.col("response.errorcode").cast("string"), F.lit("missing")),
-    )
+    message = F.concat(F.lit("page refused, "), reason())
     return pages.where(F.when(accepted(), True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def rejected_pages(pages: DataFrame) -> DataFrame:
-    """Pages with a missing or non-zero error code, broken JSON included."""
+    """Pages with a missing or non-zero error code or malformed content."""
     return pages.where(~accepted())
 
 
@@ -99,22 +114,33 @@ def documents(pages: DataFrame, kind: PageKind) -> DataFrame:
 
     A page without documents gives no row.
     """
-    exploded = pages.select("sid", "page_no", F.posexplode(f"response.{kind.list_field}"))
-    return exploded.select("sid", "page_no", F.col("pos").alias("place"), "col.*")
+    arrival = [c for c in ("landed_at", "source") if c in pages.columns]
+    exploded = pages.select("sid", "page_no", *arrival, F.posexplode(f"response.{kind.list_field}"))
+    return exploded.select("sid", "page_no", *arrival, F.col("pos").alias("place"), "col.*")
 
 
 def page_completeness(pages: DataFrame, kind: PageKind) -> DataFrame:
     """Per request window: what was declared against what has landed.
 
-    Windows in which nothing was declared are complete with no page at all.
+    Every window that was asked for is there, also if all its pages were refused:
+    nothing of it is declared then, and it isn't complete. Documents count once,
+    however often a page or a document has landed. A window in which nothing was
+    declared is complete with no document.
     """
-    landed = pages.groupBy("sid", "start_time", "end_time").agg(
-        F.max("response.total_count").alias("declared"),
-        F.sum(F.coalesce(F.size(f"response.{kind.list_field}"), F.lit(0))).alias("landed"),
-        F.count_distinct("page_no").alias("pages"),
+    window = ["sid", "start_time", "end_time"]
+    good = accepted()
+    ids = F.transform(F.col(f"response.{kind.list_field}"), lambda d: d[kind.key])
+    seen = pages.select(
+        *window,
+        F.when(good, F.col("response.total_count")).alias("total"),
+        F.when(good, F.col("page_no")).alias("good_page"),
+        F.explode_outer(F.when(good, ids)).alias("document"),
     )
-    expected = F.ceil(F.col("declared") / kind.page_size)
-    return landed.withColumn("expected_pages", expected).withColumn(
-        "complete",
-        (F.col("landed") >= F.col("declared")) & (F.col("pages") >= F.col("expected_pages")),
+    landed = seen.groupBy(*window).agg(
+        F.max("total").alias("declared"),
+        F.count_distinct("document").alias("landed"),
+        F.count_distinct("good_page").alias("pages"),
     )
+    expected = F.ceil(F.col("declared") / kind.page_size)
+    whole = (F.col("landed") >= F.col("declared")) & (F.col("pages") >= F.col("expected_pages"))
+    return landed.withColumn("expected_pages", expected).withColumn("complete", F.coalesce(whole, F.lit(False)))

@@ -380,8 +380,10 @@ def sales_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def purchase_pages(spark: SparkSession, folder: str) -> DataFrame:
-    main = _struct(PURCHASE_MAIN_LINE)
+def purchase_pages(spark: SparkSession, folder: str, again: bool = False) -> DataFrame:
+    """A page per receipt. ``again`` gives another copy, with other lines in it."""
+    changes = {"rec_id": "concat(key, '-again')", "total_cost": "cast(1 as decimal(18,2))"} if again else {}
+    main = _struct(PURCHASE_MAIN_LINE | changes)
     spare = F.when(F.col("l_discount") > 0.05, _struct(PURCHASE_SPARE_LINE))
     lines = F.array_compact(F.array(main, spare)).alias("details_list")
     docs = F.array(_struct(PURCHASE_DOCUMENT, lines))
@@ -391,7 +393,9 @@ def purchase_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_pages(spark: SparkSession, folder: str) -> DataFrame:
+def order_pages(
+    spark: SparkSession, folder: str, only: str = "true", changes: dict[str, str] | None = None
+) -> DataFrame:
     """A page per order; a day declares all its orders, urgent ones fail to land."""
     orders = table(spark, folder, "orders")
     declared = orders.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("total"))
@@ -402,8 +406,8 @@ def order_pages(spark: SparkSession, folder: str) -> DataFrame:
             "errorcode": F.when(F.col("o_orderpriority") == "1-URGENT", 1050).otherwise(0),
         }
     )
-    docs = F.array(_struct(ORDER_DOCUMENT))
-    return rows.select(
+    docs = F.array(_struct(ORDER_DOCUMENT | (changes or {})))
+    return rows.where(only).select(
         _page("trades", F.col("errorcode"), F.col("total"), docs).alias("body")
     )
 
