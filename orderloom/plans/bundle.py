@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -62,6 +62,13 @@ def shared_window(spark: SparkSession, t: Tables, p: ReportParams) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def shared_receipts(spark: SparkSession, t: Tables, p: ReportParams) -> DataFrame:
+    """Receipt sums the purchase section and its message are made from, as a written table."""
+    path = scratch_path(spark, "receipts")
+    R.receipt_sums(t.purchases, p).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def sections(spark: SparkSession, t: Tables, p: ReportParams) -> list[Section]:
     """The sections in report order. Runs the job that sums up the window."""
     lines = shared_window(spark, t, p)
@@ -140,6 +147,7 @@ def write_report(
     ``form`` may be csv for readers other than Spark.
     """
     folder = f"{out}/start_date={p.start:%Y%m%d}/end_date={p.end:%Y%m%d}"
+    t = replace(t, purchases=shared_receipts(spark, t, p))
     parts = [*sections(spark, t, p), purchase_section(t, p)]
 
     def write(part: Section) -> None:

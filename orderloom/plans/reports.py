@@ -256,6 +256,14 @@ def completed_receipts(purchases: DataFrame, p: ReportParams) -> DataFrame:
 PURCHASE_KEYS = ("detail_goods_no", "detail_goods_name")
 
 
+def receipt_sums(purchases: DataFrame, p: ReportParams) -> DataFrame:
+    """Receipts of the long window summed by status, item and day, under the names
+    of the stored table: what the purchase section asks for, in one scan."""
+    day = F.to_date("stockin_time").cast("timestamp_ntz").alias("stockin_time")
+    sums = [F.sum(c).alias(c) for c in ("detail_total_cost", "detail_goods_count")]
+    return receipts(purchases, p, p.statuses).groupBy("status_CN", *PURCHASE_KEYS, day).agg(*sums)
+
+
 def purchase_detail(
     purchases: DataFrame,
     p: ReportParams,
