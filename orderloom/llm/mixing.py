@@ -9,8 +9,8 @@ from orderloom.llm.common import WORD, staged
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-# Hash digits looked at per refinement, and in all. 16 ** 3 buckets per source.
-DIGITS, ALL_DIGITS = 3, 15
+# Hash digits looked at per refinement, and in all: 256 buckets per source each time.
+DIGITS, ALL_DIGITS = 2, 14
 ROUNDS = 3
 
 
@@ -68,7 +68,7 @@ def _cuts(sizes: DataFrame, goals: DataFrame, nearest: bool) -> DataFrame:
 
     ``goals`` has ``key``, ``floor`` and ``most``, which say what rows count (those
     with a higher hash and at most that size), and ``left``. Words are summed by
-    source and hash bucket, on the map side first. Running sums over at most 4096
+    source and hash bucket, on the map side first. Running sums over at most 256
     buckets of a source find the one that the goal falls in; only its rows are
     looked at again, by their next digits. Returns ``key``, ``cut`` (the hash where
     the goal is reached), ``with_it`` (if its rows are taken) and the words ``left``
