@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom import schemas as S
 from orderloom.functions.text import parse_day
-from orderloom.operators import slots
+from orderloom.operators import slots, upsert
 from orderloom.plans import bundle, loads
 from orderloom.plans.params import ReportParams
 from orderloom.session import SETTINGS
@@ -52,6 +53,10 @@ def parser() -> argparse.ArgumentParser:
         else:
             load.add_argument("--keys-stay", action="store_true", help="a key never changes its month")
 
+    merge = jobs.add_parser("merge-purchases", help="put all loads of purchases into one")
+    merge.add_argument("--table", required=True)
+    merge.add_argument("--load", required=True, help="name of the merged load")
+
     check = jobs.add_parser("check-pages", help="what has landed of each request window")
     check.add_argument("--kind", choices=sorted(KINDS), required=True)
     check.add_argument("--pages", required=True)
@@ -123,7 +128,12 @@ def main(arguments: Sequence[str] | None = None) -> int:
     spark = builder.getOrCreate()
     if args.job == "check-pages":
         return run_check(spark, args)
-    run_report(spark, args) if args.job == "report" else run_load(spark, args)
+    if args.job == "merge-purchases":
+        upsert.merge_loads(spark, args.table, args.load, S.STOCKIN_MONTH)
+    elif args.job == "report":
+        run_report(spark, args)
+    else:
+        run_load(spark, args)
     return 0
 
 

@@ -191,7 +191,7 @@ def upsert_table(
     finish_replacing(spark, path, partition)
 
 
-REPLACING, WHOLE = "replacing", "whole"
+REPLACING, MERGING, WHOLE = "replacing", "merging ", "whole"
 PLAIN_NAME = re.compile(r"[\w.-]+")
 
 
@@ -243,6 +243,7 @@ def append_table(
     what a load reads; a name that another run has taken is refused.
     """
     path = path.rstrip("/")
+    finish_merging(spark, path, partition)
     note, run = f"{path}/_loads/{load}", run or load
     taken = _noted(spark, note)
     if taken not in (None, run):
@@ -254,11 +255,43 @@ def append_table(
             raise ValueError(f"load {load} is there, without a note of what it read")
         batch = fresh_rows(batch, known.where(F.col("load") != load), keys)
     spark.range(1, numPartitions=1).select(F.lit(run)).write.mode("overwrite").text(note)
+    _write_load(batch, f"{path}/load={load}", partition)
+
+
+def _write_load(rows: DataFrame, folder: str, partition: str | None) -> None:
     if partition is None:
-        batch.write.mode("overwrite").parquet(f"{path}/load={load}")
+        rows.write.mode("overwrite").parquet(folder)
     else:
-        evenly = batch.hint("rebalance", partition)
-        evenly.write.mode("overwrite").partitionBy(partition).parquet(f"{path}/load={load}")
+        rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(folder)
+
+
+def merge_loads(spark: SparkSession, path: str, into: str, partition: str | None = None) -> None:
+    """Put the rows of all loads so far into one, so that readers list few files.
+
+    The rows are staged and the table is marked before a load goes, as an upsert
+    does it. Notes of the merged loads stay: their names are not free again.
+    """
+    path = path.rstrip("/")
+    finish_merging(spark, path, partition)
+    table = spark.read.parquet(path)
+    table.select("load").distinct().write.mode("overwrite").parquet(staging_path(path, "touched"))
+    table.drop("load").write.mode("overwrite").parquet(staging_path(path, "merged"))
+    _mark(spark, path, MERGING + into)
+    finish_merging(spark, path, partition)
+
+
+def finish_merging(spark: SparkSession, path: str, partition: str | None = None) -> None:
+    """Replace the merged loads by the staged rows if the table is marked so."""
+    state = _noted(spark, staging_path(path, "state")) or ""
+    if not state.startswith(MERGING):
+        return
+    into = state.removeprefix(MERGING)
+    for row in spark.read.parquet(staging_path(path, "touched")).collect():  # a name per load
+        remove(spark, f"{path}/load={row[0]}")
+    _write_load(spark.read.parquet(staging_path(path, "merged")), f"{path}/load={into}", partition)
+    _mark(spark, path, WHOLE)
+    for name in ("touched", "merged"):
+        remove(spark, staging_path(path, name))
 
 
 def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:

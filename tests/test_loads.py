@@ -154,6 +154,28 @@ def test_a_load_name_is_for_one_set_of_pages(spark, tmp_path):
     assert {r[0] for r in lines_of(spark, out)} == {"9"}
 
 
+def test_loads_are_merged(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "t")
+    for number in (1, 2, 3):
+        folder = land(tmp_path / f"p{number}", page(P.PURCHASE, [receipt(number, lines=((1, 0), (2, 0)))]))
+        main(["load-purchases", "--table", out, "--load", f"l{number}", "--pages", folder])
+    before = lines_of(spark, out)
+
+    def lose(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(U, "_write_load", lose)
+        with pytest.raises(OSError):
+            main(["merge-purchases", "--table", out, "--load", "all"])
+    again = land(tmp_path / "p4", page(P.PURCHASE, [receipt(2, lines=((9, 0),)), receipt(4, lines=((1, 0),))]))
+    main(["load-purchases", "--table", out, "--load", "l4", "--pages", again])
+    assert lines_of(spark, out) == sorted([*before, ("4", "1", 0)], key=str)
+    assert {r.load for r in tables.read_table(spark, out).collect()} == {"all", "l4"}
+    with pytest.raises(ValueError, match="other pages"):
+        main(["load-purchases", "--table", out, "--load", "l1", "--pages", again])
+
+
 def test_another_process_finishes_a_broken_run(spark, tmp_path, monkeypatch):
     """Nothing but the table's own folder is needed, however its path is written."""
     path = str(tmp_path / "t")
