@@ -1,0 +1,78 @@
+import random
+
+import pytest
+
+import corpus_pipeline
+from orderloom.llm import copies
+from tests.llm.fixtures import SCHEMA, documents, frame
+
+
+def brute_set(text):
+    found = (text or "").encode().lower().split()
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+
+def alike(one, two):
+    return one == two or bool(one and two) and len(one & two) / len(one | two) >= 0.8
+
+
+def brute_kept(rows):
+    """Smallest ids, by components of texts that are alike; rows of (id, text)."""
+    sets = list({frozenset(brute_set(t)) for _, t in rows})
+    root = {s: s for s in sets}
+
+    def find(s):
+        while root[s] is not s:
+            s = root[s]
+        return s
+
+    for i, one in enumerate(sets):
+        for two in sets[:i]:
+            if alike(one, two):
+                root[find(one)] = find(two)
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(find(next(s for s in sets if s == brute_set(text))), []).append((i is None, i or 0))
+    return sorted((None if none else i) if not none else None for none, i in map(min, groups.values())), len(groups)
+
+
+def changed(draw, found, count):
+    found = list(found)
+    for at in draw.sample(range(0, len(found), 7), count):
+        found[at] = f"new{draw.randrange(10**6)}"
+    return " ".join(found)
+
+
+def families():
+    """Groups of texts with 1 to 4 words of 150 changed: similarities on both sides of 0.8."""
+    draw, rows = random.Random(3), []
+    for family in range(12):
+        base = [f"f{family}w{draw.randrange(10**6)}" for _ in range(150)]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(4):
+            rows.append((len(rows), changed(draw, base, draw.randrange(1, 5))))
+    return rows
+
+
+def kept(table):
+    return [r.doc_id for r in table.select("doc_id").collect()]
+
+
+@pytest.mark.parametrize("paired_at_most", [1, 128])
+def test_one_of_each_by_definition(spark, paired_at_most):
+    given = documents()
+    extra = [(i + 20000, t, *given[0][2:]) for i, t in families()]
+    ids, count = brute_kept([r[:2] for r in given + extra])
+    left = kept(copies.one_of_each(frame(spark, given + extra), paired_at_most=paired_at_most))
+    assert len(left) == count and sorted(left, key=str) == sorted(ids, key=str)
+
+
+def stage(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "a", None, 0.5, "x") for i, t in rows], SCHEMA)
+    return sorted(kept(corpus_pipeline.drop_near_duplicates(spark, docs, "")))
+
+
+def test_copies_with_some_words_changed_go(spark):
+    draw = random.Random(4)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    assert stage(spark, [(1, " ".join(base)), (2, changed(draw, base, 2)), (3, changed(draw, base, 9))]) == [1, 3]
