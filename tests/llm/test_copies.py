@@ -3,7 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from orderloom.llm import copies
+from orderloom.llm import copies, simhash
 from tests.llm.fixtures import SCHEMA, documents, frame
 
 
@@ -76,3 +76,17 @@ def test_copies_with_some_words_changed_go(spark):
     draw = random.Random(4)
     base = [f"w{draw.randrange(10**6)}" for _ in range(150)]
     assert stage(spark, [(1, " ".join(base)), (2, changed(draw, base, 2)), (3, changed(draw, base, 9))]) == [1, 3]
+
+
+def test_texts_behind_one_repeated_shingle_stay(spark):
+    draw = random.Random(5)
+    texts = ["same " * 400 + " ".join(f"w{draw.randrange(10**6)}" for _ in range(100)) for _ in range(3)]
+    assert stage(spark, list(enumerate(texts))) == [0, 1, 2]
+
+
+def test_texts_within_three_bits_but_not_alike_stay(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id IN (589, 6676)")
+    texts = [r.text for r in table.orderBy("doc_id").collect()]
+    one, two = (int(v) for v in simhash.simhash(texts))
+    assert bin(one ^ two).count("1") <= simhash.DISTANCE
+    assert stage(spark, list(enumerate(texts))) == [0, 1]
