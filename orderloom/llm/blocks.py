@@ -84,7 +84,7 @@ class _Reader(HTMLParser):
         names = []
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
-                names += [f"name:{n}" for n in _NAME.findall(value.lower())[:16]]
+                names += [f"name:{n}" for n in _NAME.findall(value.lower())]
         features = (f"in:{tag}", *names)
         self.open.append((tag, features))
         self.around.update(features)

@@ -60,3 +60,9 @@ def test_viterbi_finds_the_best_path():
 def test_training_is_the_same_in_every_run():
     pages = [(blocks(h), y) for h, y in labelled_pages(20)]
     assert np.array_equal(crf.fit(pages, 5).weights, crf.fit(pages, 5).weights)
+
+
+def test_every_name_of_a_tag_is_a_feature():
+    names = " ".join(f"u{chr(97 + i)}" for i in range(20))
+    (block,) = blocks(f'<div class="{names} sidebar">Text of it.</div>')
+    assert "name:sidebar" in block.features
