@@ -163,3 +163,22 @@ def near_duplicates(
     """
     printed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint(F.col("text"), shingle).alias("print"))
     return _grouped(staged(printed, "prints"), distance, paired_at_most).select("doc_id", "print", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, distance: int = DISTANCE, shingle: int = SHINGLE, paired_at_most: int = PAIRED_AT_MOST
+) -> DataFrame:
+    """One document of each component, all columns kept: the one with the smallest
+    ``doc_id``, null last, and one only of rows with that id. A null text is an
+    empty one; texts without words have one fingerprint. No rows for no documents."""
+    whole = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"),
+        fingerprint(F.col("text"), shingle).alias("print"),
+    )
+    printed = staged(whole, "printed")  # row numbers stay as they are written
+    grouped = _grouped(printed.select("doc_id", "row", "print"), distance, paired_at_most)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = grouped.groupBy("root").agg(first).select(F.col("first.row").alias("row"))
+    return printed.join(kept, "row", "left_semi").select("doc_.*")
