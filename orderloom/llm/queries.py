@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat, crf, hnsw, mixing, packing, pii, quality, simhash, substrings, topk
+from orderloom.llm import chat, crf, hnsw, mixing, packing, pii, quality, repair, simhash, substrings, topk, trie, turns
 from orderloom.llm.common import table
+from orderloom.session import scratch_path
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,6 +91,22 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "ids")
+    repair.write(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.digests(turns.repaired(turns.damaged(table(spark, folder, "conversations"))))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -101,4 +118,7 @@ QUERIES = {
     "op8_crf_extraction": op8_crf_extraction,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_repair": op11_repair,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_structure_repair": op13_structure_repair,
 }
