@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderloom.llm import chat, mixing, topk
+from orderloom.llm import chat, mixing, topk, trie
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -115,8 +115,54 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= {topk.K}"""
 
 
+def _trie(family: int = trie.FAMILY, most: int = trie.SHARED_TURNS) -> str:
+    """Every prefix of every rebuilt conversation, grouped; sums over all nodes above a node."""
+    crc32 = (
+        "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)), "
+        "lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), "
+        "lambda a, _: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"
+    )
+    return f"""
+WITH keyed AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+         len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({{'key': key, 'words': words}} ORDER BY turn NULLS FIRST, key) AS turns, {crc32} % {most} AS shared
+  FROM keyed GROUP BY conv_id),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(
+           CASE WHEN o.shared = 0 OR f.turns IS NULL THEN [] ELSE f.turns[1:o.shared] END,
+           CASE WHEN len(o.turns) > o.shared THEN o.turns[o.shared + 1:] ELSE [] END) AS path
+  FROM own o LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % {family}),
+members AS (
+  SELECT conv_id, len(path) AS size, depth, list_transform(CASE WHEN depth = 0 THEN [] ELSE path[1:depth] END, lambda t: t.key) AS node,
+         CASE WHEN depth = 0 THEN 0 ELSE path[depth].words END AS words
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM rebuilt)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM members GROUP BY node, depth),
+above AS (
+  SELECT node, conv_id, depth, n_convs, words, unnest(range(0, depth + 1)) AS at FROM nodes),
+kids AS (
+  SELECT CASE WHEN depth = 1 THEN [] ELSE node[1:depth - 1] END AS node, depth - 1 AS depth, count(*) AS n_children
+  FROM nodes WHERE depth > 0 GROUP BY ALL),
+sums AS (
+  SELECT CASE WHEN a.at = 0 THEN [] ELSE a.node[1:a.at] END AS node, a.at AS depth,
+         sum((a.n_convs - 1) * a.words) AS saved, count(*) FILTER (k.n_children IS NULL) AS n_leaves
+  FROM above a LEFT JOIN kids k ON k.node = a.node AND k.depth = a.depth GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves,
+       s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n
+JOIN sums s ON s.node = n.node AND s.depth = n.depth
+LEFT JOIN kids k ON k.node = n.node AND k.depth = n.depth
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = CASE WHEN n.depth = 1 THEN [] ELSE n.node[1:n.depth - 1] END"""
+
+
 ORACLE: dict[str, str] = {
     "op3_exact_topk": _top_products(),
     "op4_chat_rotation": _chat(),
     "op9_mixing": _mixing(),
+    "op12_prefix_trie": _trie(),
 }
