@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import copies, mixing, packing, pii, quality
+from orderloom.llm import mixing, packing, pii, quality, simhash
 from orderloom.llm.common import free_name, staged, table
 from orderloom.llm.queries import tokenizer_path
 
@@ -18,8 +18,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8), the one with the smallest id."""
-    return copies.one_of_each(docs)
+    """One document of each group of linked fingerprints, the one with the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
