@@ -764,3 +764,28 @@ def sections_sql(p) -> str:
 
 ORACLE["report_bundle"] = bundle_sql(Q.WHOLE)
 ORACLE["report_sections"] = sections_sql(Q.MONTH)
+
+
+# Streams over landings --------------------------------------------------------
+
+LANDED = f"""
+landed AS (
+  SELECT *, {Q.LANDING.replace("day(ts)", "date_part('day', ts)")} AS landing FROM events),
+marks AS (
+  SELECT landing, max(max(ts)) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - INTERVAL {V.LOOKBACK_DAYS} DAY AS mark
+  FROM landed GROUP BY landing),
+parted AS (
+  SELECT l.*, coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark, FALSE) AS late
+  FROM landed l JOIN marks USING (landing))"""
+
+ORACLE["stream_late_slots"] = f"""
+  WITH {LANDED} SELECT strftime(date_trunc('hour', ts), {SECOND}) AS slot, count(*) AS n
+  FROM parted WHERE NOT late GROUP BY 1"""
+ORACLE["stream_late_rows"] = f"WITH {LANDED} SELECT {EVENT_OUT} FROM parted WHERE late"
+ORACLE["stream_counts_compacted"] = ORACLE["hourly_counts"]
+ORACLE["stream_dedupe_window"] = f"""
+  SELECT {EVENT_OUT} FROM events UNION ALL
+  SELECT {EVENT_OUT} FROM (
+    SELECT * REPLACE (ts + INTERVAL {3 * Q.LANDING_DAYS} DAY AS ts) FROM events
+    WHERE event_id % 7 = 0 AND date_part('day', ts) <= {Q.LANDING_DAYS})"""

@@ -789,6 +789,78 @@ def stream_hourly_counts(spark, folder):
     return plain(jobs.current_slots(spark, f"{base}/table"))
 
 
+# Landings of events by time, and of those among them that come late.
+LANDINGS = 5
+LANDING_DAYS = 6
+LANDING = (
+    f"least({LANDINGS - 1}, cast(floor((day(ts) - 1) / {LANDING_DAYS}) as int) "
+    "+ CASE WHEN event_id % 11 = 0 THEN 3 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END)"
+)
+
+
+def _land(events: DataFrame, folder: str) -> None:
+    """Two files: what a batch of two takes."""
+    events.repartition(2).write.mode("append").parquet(folder)
+
+
+def _late_counts(spark, folder) -> tuple[str, DataFrame]:
+    """Events land in order of time, some of them one or three landings late."""
+    base = scratch_path(spark, "stream-late")
+    events = D.events(spark, folder).withColumn("landing", F.expr(LANDING))
+    for landing in range(LANDINGS):
+        _land(events.where(F.col("landing") == landing).drop("landing"), f"{base}/landed")
+    stream = jobs.stream_table(spark, f"{base}/landed", files_per_batch=2)
+    jobs.slot_count_stream(stream, "ts", f"{base}/table", f"{base}/checkpoint", delay=jobs.WATERMARK)
+    return f"{base}/table", events.drop("landing")
+
+
+@query
+def stream_late_slots(spark, folder):
+    """Hourly counts without the rows that come after their hour is closed."""
+    table, _ = _late_counts(spark, folder)
+    return plain(jobs.current_slots(spark, table))
+
+
+@query
+def stream_late_rows(spark, folder):
+    """The rows that come after their hour is closed."""
+    table, events = _late_counts(spark, folder)
+    return plain(jobs.late_rows(spark, table, events.schema))
+
+
+@query
+def stream_counts_compacted(spark, folder):
+    """All events in nine batches, whose folders are put into one after every fourth."""
+    base = scratch_path(spark, "stream-compacted")
+    D.events(spark, folder).repartition(9).write.parquet(f"{base}/landed")
+    stream = jobs.stream_table(spark, f"{base}/landed", files_per_batch=1)
+    jobs.slot_count_stream(stream, "ts", f"{base}/table", f"{base}/checkpoint", compact_every=4)
+    return plain(jobs.current_slots(spark, f"{base}/table"))
+
+
+@query
+def stream_dedupe_window(spark, folder):
+    """Events land in order of time. A fifth land again with the next landing, an hour
+    younger, and go; a seventh of the first landing come back three landings later with
+    a time of then, when their keys are forgotten, and enter again."""
+    base = scratch_path(spark, "stream-window")
+    span = f"INTERVAL {LANDING_DAYS} DAYS"
+    landing = F.expr(f"cast(floor((day(ts) - 1) / {LANDING_DAYS}) as int)")
+    events = D.events(spark, folder).withColumn("landing", landing)
+    soon = events.where("event_id % 5 = 0").withColumns(
+        {"landing": F.col("landing") + 1, "ts": F.expr("ts + INTERVAL 1 HOUR")}
+    )
+    back = events.where("landing = 0 AND event_id % 7 = 0").withColumns(
+        {"landing": F.lit(3), "ts": F.expr(f"ts + 3 * {span}")}
+    )
+    sent = events.unionByName(soon).unionByName(back)
+    for number in range(LANDINGS + 1):
+        _land(sent.where(F.col("landing") == number).drop("landing"), f"{base}/landed")
+    stream = jobs.stream_table(spark, f"{base}/landed", files_per_batch=2)
+    jobs.dedupe_in_window_stream(stream, f"{base}/table", f"{base}/checkpoint", ["event_id"], "ts")
+    return plain(spark.read.parquet(f"{base}/table").drop("batch_id"))
+
+
 # Reports ----------------------------------------------------------------------
 
 def _lines(spark, folder, p, *columns):
