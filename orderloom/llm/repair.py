@@ -12,10 +12,12 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,8 @@ LEAST_COUNT = 8
 LEAST_GAIN = 0.02
 _FALL = 4
 _COUNTED_BITS = 18
-_CACHED = 1_000_000
+_CACHED = 1_200_000
+_BYTES_AT_ONCE = 16 << 20
 
 BLOCKS = (
     "shard int, block int, before long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, "
@@ -45,15 +48,16 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _UNITS = re.compile(f" ?[{_LETTERS}]+(?=[.,;:!? \\n]|\\Z)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 _PLAIN = re.compile(f" ?[{_LETTERS}]+")
-_BLANK = re.compile(f"[{_SPACE}]")
-
-
-class _Odd(Exception):
-    """A space in front of white space or of nothing."""
+_AFTER = ".,;:!?"
+_JOINED = r" [\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]| \z"
+_END_BYTES = END.to_bytes(4, "little")
 
 
 class UnitTokens(dict):
-    """Little-endian ids of units, which the tokenizer never joins with others."""
+    """Little-endian ids of units, which the tokenizer never joins with others.
+
+    Words are kept; what consists of several units is put together anew.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,51 +72,68 @@ class UnitTokens(dict):
         self.mapped = {ord(c): self.split(c)[0][0] for c in latin}
 
     def __missing__(self, unit: str) -> bytes:
+        if unit.isascii() and (unit.isalpha() or unit[0] == " " and unit[1:].isalpha()):
+            parts = [unit.replace(" ", self.mapped[32])]
+        elif unit[-1] in _AFTER and unit.isascii() and unit[-2:-1].isalnum():
+            return self[unit[:-1]] + self[unit[-1]]  # no letter or digit goes with a mark after it
+        elif _PLAIN.fullmatch(unit):
+            parts = [unit.translate(self.mapped)]
+        elif len(units := _UNITS.findall(unit)) > 1:
+            return b"".join(map(self.__getitem__, units))
+        else:
+            parts = [part for part, _ in self.split(unit)]
         if len(self) >= _CACHED:
             self.clear()
-        parts = [unit.translate(self.mapped)] if _PLAIN.fullmatch(unit) else [p for p, _ in self.split(unit)]
-        self[unit] = ids = np.array([t.id for p in parts for t in self.model.tokenize(p)], "<u4").tobytes()
+        self[unit] = ids = array("I", [t.id for p in parts for t in self.model.tokenize(p)]).tobytes()
         return ids
 
-    def of(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
+        if any(mark in text for mark in self.special):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, _UNITS.findall(text)))
 
-
-class SpacedTokens(dict):
-    """Ids of what stands between two spaces, with the first of them."""
-
-    def __init__(self, path: str):
-        self.units = UnitTokens(path)
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or _BLANK.match(piece):
-            raise _Odd
-        ids = self.units.of(" " + piece)
-        if "\n" not in piece:  # two words and a line's end seldom come back
-            if len(self) >= _CACHED:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        units = self.units
-        if any(mark in text for mark in units.special):
-            return np.array(units.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        first, *rest = text.split(" ")
-        try:
-            return units.of(first) + b"".join(map(self.__getitem__, rest))
-        except _Odd:
-            return units.of(text)
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts in a row, an end mark after each, and how many each has.
+
+        Texts are parted at spaces, and every different piece is looked up once. A
+        text in which a space stands before white space or at the end is taken
+        apart as a whole: the tokenizer joins such spaces.
+        """
+        marked = functools.reduce(pc.or_, (pc.match_substring(texts, m) for m in self.special))
+        whole = pc.or_(marked, pc.match_substring_regex(texts, _JOINED)).to_pylist()
+        pieces = pc.split_pattern(texts, " ")
+        bounds, coded = pieces.offsets.to_pylist(), pieces.values.dictionary_encode()
+        known = [
+            self[" " + piece] if piece else b"" for piece in coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ]
+        found = [known[code] for code in coded.indices.to_numpy().tolist()]
+        heads = pieces.values.take(pa.array(bounds[:-1])).to_pylist()
+        parts = []
+        for text, is_whole, head, start, stop in zip(texts, whole, heads, bounds, bounds[1:]):
+            if is_whole:
+                parts.append(self.whole(text.as_py()) + _END_BYTES)
+            else:
+                found[start] = self.whole(head)
+                parts.append(b"".join(found[start:stop]) + _END_BYTES)
+        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(part) // 4 for part in parts], np.int64)
 
 
 @functools.lru_cache(maxsize=2)
-def _tokens(path: str) -> SpacedTokens:
-    return SpacedTokens(path)
+def _tokens(path: str) -> UnitTokens:
+    return UnitTokens(path)
 
 
-def token_ids(text: str | None, path: str) -> bytes:
-    """Ids of a text as the tokenizer gives them, then the end mark; a null text is empty."""
-    return _tokens(path).of(text or "") + END.to_bytes(4, "little")
+def token_ids(texts: pa.Array, path: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of texts as the tokenizer gives them, an end mark after each, and how many
+    each has, for some megabytes of texts at a time. A null text is empty."""
+    texts = pc.fill_null(texts, "")
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < len(texts):
+        begun = int(upto[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(upto, begun + _BYTES_AT_ONCE, "right")))
+        yield _tokens(path).of(texts.slice(at, stop - at))
+        at = stop
 
 
 def _frequent(keys: np.ndarray, least: int) -> np.ndarray:
@@ -264,26 +285,32 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, block_tokens: int =
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, number, before, held, names, total = TaskContext.get().partitionId(), 0, 0, [], [], 0
+        shard, number, before, total = TaskContext.get().partitionId(), 0, 0, 0
+        held, names, sizes = [], [], []
 
         def flush() -> pa.RecordBatch:
-            rules, spans, symbols = compress(np.frombuffer(b"".join(held), "<u4"))
+            rules, spans, symbols = compress(np.concatenate(held))
             packed_rules, packed_symbols = _packed(symbols, rules)
-            sizes = [len(ids) // 4 for ids in held]
             row = [shard, number, before, total, names, sizes, packed_rules, spans.astype("<u4").tobytes(), packed_symbols]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 3]
             columns = [field.split()[0] for field in BLOCKS.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], columns)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = token_ids(text.as_py(), tokenizer_path)
-                held.append(ids)
-                names.append(doc_id)
-                total += len(ids) // 4
-                if total >= block_tokens:
-                    yield flush()
-                    number, before, held, names, total = number + 1, before + total, [], [], 0
+            doc_ids, done = batch.column("doc_id").to_pylist(), 0
+            for ids, counts in token_ids(batch.column("text"), tokenizer_path):
+                stops, at, used = np.cumsum(counts), 0, 0
+                while at < len(counts):
+                    # Documents up to the one that fills the block.
+                    upto = min(len(counts), int(np.searchsorted(stops, used + block_tokens - total, "left")) + 1)
+                    held.append(ids[used : stops[upto - 1]])
+                    names += doc_ids[done + at : done + upto]
+                    sizes += counts[at:upto].tolist()
+                    total, used, at = total + len(held[-1]), int(stops[upto - 1]), upto
+                    if total >= block_tokens:
+                        yield flush()
+                        number, before, total, held, names, sizes = number + 1, before + total, 0, [], [], []
+                done += len(counts)
         if held:
             yield flush()
 
