@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom import fixed_values as V
@@ -154,6 +154,50 @@ def daily_pivot(
     return wide.select(*keys, *cells)
 
 
+def numbered_days(days: DataFrame, width: int) -> DataFrame:
+    """Days cut into blocks in order: ``block`` and ``place``, both from 1, and the
+    days ``held`` by the block. There is one row per day, however long the window."""
+    number = F.row_number().over(Window.orderBy("day")) - 1
+    dealt = days.select("day", F.floor(number / width).cast("int").alias("block"), (number % width + 1).alias("place"))
+    held = F.count(F.lit(1)).over(Window.partitionBy("block"))
+    return dealt.select("day", (F.col("block") + 1).alias("block"), "place", held.alias("held"))
+
+
+def blocked_pivot(
+    long: DataFrame,
+    keys: Sequence[str],
+    days: DataFrame,
+    amount_name: str = "amount_{place}",
+    count_name: str = "count_{place}",
+    total: str | None = None,
+    width: int = V.LONG_WINDOW_DAYS + 1,
+) -> DataFrame:
+    """The daily pivot of a window of any length, cut into blocks of days.
+
+    ``long`` has the daily totals and ``days`` their numbers. Two columns per place
+    in a block, and the blocks below each other: the plan is as wide as one block,
+    and all of them come out of one shuffle. A key shows in the blocks it has rows
+    in, with 0 on the other days there; places beyond the last day are NULL.
+    ``total`` adds a row per block, as in ``daily_pivot``.
+    """
+    if total is not None:
+        long = _with_daily_total(long, keys, total)
+        keys = ["is_total", *keys]
+    placed = long.join(days, "day")
+    wide = (
+        placed.groupBy("block", "held", *keys)
+        .pivot("place", list(range(1, width + 1)))
+        .agg(F.sum("amount").alias("amount"), F.sum("count").alias("count"))
+    )
+    zero = F.lit(0).cast("decimal(18,2)")
+    cells = []
+    for place in range(1, width + 1):
+        for name, shown in (("amount", amount_name), ("count", count_name)):
+            cell = F.when(F.col("held") >= place, F.coalesce(F.col(f"{place}_{name}"), zero))
+            cells.append(cell.alias(shown.format(place=place)))
+    return wide.select("block", *keys, *cells)
+
+
 def _with_daily_total(long: DataFrame, keys: Sequence[str], total: str) -> DataFrame:
     grouped = long.groupingSets([[*keys, "day"], ["day"]], *keys, "day").agg(
         F.grouping(keys[0]).alias("is_total"),

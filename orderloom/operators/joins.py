@@ -8,11 +8,52 @@ partitions that a hot key makes too large.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Different values of a column up to which a scan is asked for each of them.
+FEW_VALUES = 1000
+
+
+@dataclass(frozen=True)
+class Span:
+    """Least and greatest value of a column of one side of a join, or its values
+    where they are few.
+
+    As plain values they reach the other side's scan, which then skips the row groups
+    that can't hold them: tables written here are sorted by their keys, for spans,
+    and have Bloom filters of them, for values.
+    """
+
+    low: object
+    high: object
+    nulls: bool = False
+    values: tuple | None = None
+
+    def holds(self, column: str) -> Column:
+        """True for the values a row of the first side can have."""
+        value = F.col(column)
+        if self.low is None:
+            return value.isNull() if self.nulls else F.lit(False)
+        inside = value.between(F.lit(self.low), F.lit(self.high))
+        if self.values is not None:
+            inside = inside & value.isin(list(self.values))
+        return inside | value.isNull() if self.nulls else inside
+
+
+def span_of(rows: DataFrame, column: str) -> Span:
+    """Span of a written table's column: however many rows there are, one comes back,
+    and the values if there are no more than ``FEW_VALUES``."""
+    value = F.col(column)
+    row = rows.agg(F.min(value), F.max(value), F.coalesce(F.bool_or(value.isNull()), F.lit(False))).first()
+    different = rows.where(value.isNotNull()).select(column).distinct().limit(FEW_VALUES + 1).collect()
+    few = tuple(sorted(r[0] for r in different)) if len(different) <= FEW_VALUES else None
+    return Span(*row, few)
+
+
 def with_item_cost(lines: DataFrame, cost: DataFrame, item: str = "spec_no") -> DataFrame:
     """Lines with the cost of their item; lines of unknown items stay."""
     if item != "spec_no":

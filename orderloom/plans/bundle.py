@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom import fixed_values as V
 from orderloom.functions.text import report_number, title
+from orderloom.operators.joins import span_of
 from orderloom.plans import reports as R
 from orderloom.plans.params import ReportParams
 from orderloom.session import scratch_path
@@ -62,10 +64,21 @@ def shared_window(spark: SparkSession, t: Tables, p: ReportParams) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def shared_receipts(spark: SparkSession, t: Tables, p: ReportParams) -> DataFrame:
+def offline_report(
+    spark: SparkSession, detail: DataFrame, headers: DataFrame, inventory: DataFrame, p: ReportParams
+) -> DataFrame:
+    """The offline report from its lines as a written table, whose documents then
+    tell which headers are read."""
+    path = scratch_path(spark, "offline")
+    R.offline_lines(R.in_window(detail, p), p).write.parquet(path)
+    lines = spark.read.parquet(path)
+    return R.offline_summary(lines, headers, inventory, p, span=span_of(lines, "stockout_id"))
+
+
+def shared_receipts(spark: SparkSession, purchases: DataFrame, p: ReportParams) -> DataFrame:
     """Receipt sums the purchase section and its message are made from, as a written table."""
     path = scratch_path(spark, "receipts")
-    R.receipt_sums(t.purchases, p).write.parquet(path)
+    R.receipt_sums(purchases, p).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -75,7 +88,7 @@ def sections(spark: SparkSession, t: Tables, p: ReportParams) -> list[Section]:
     window = (p.start, p.end)
     sku = R.sku_detail(lines, t.inventory, t.products, p.online_shops, p)
     offline_sku = R.sku_detail(lines, t.inventory, t.products, p.offline_shops, p)
-    offline = R.offline_summary(R.in_window(t.detail, p), t.headers, t.inventory, p)
+    offline = offline_report(spark, t.detail, t.headers, t.inventory, p)
     rate = ("cost_ratio",)
     return [
         Section("channel", title(*window, V.TITLE_CHANNEL),
@@ -102,6 +115,15 @@ def purchase_section(t: Tables, p: ReportParams) -> Section:
     return Section("purchases", V.SHEET_PURCHASES, wide, R.PURCHASE_KEYS, (), headings)
 
 
+def purchase_blocks_section(t: Tables, p: ReportParams) -> Section:
+    """The purchases of a long window: blocks of days, under the number of the day."""
+    wide = R.purchase_blocks(
+        t.purchases, p, "{place}_" + V.PURCHASE_AMOUNT_SUFFIX, "{place}_" + V.PURCHASE_COUNT_SUFFIX
+    )
+    headings = ("block", *V.PURCHASE_HEADINGS, *wide.columns[3:])
+    return Section("purchases", V.SHEET_PURCHASES, wide, R.PURCHASE_KEYS, ("block",), headings)
+
+
 def purchase_days_section(t: Tables, p: ReportParams) -> Section:
     """The purchases in long form: one row per item and day, for any window."""
     days = R.purchase_days(t.purchases, p).withColumn("day", F.col("day").cast("string"))
@@ -144,11 +166,15 @@ def write_report(
 
     Each section is one folder, sorted, under its own headings; ``index`` lists
     the titles in order. Without receipts ``message`` holds a line that says so.
-    ``form`` may be csv for readers other than Spark.
+    Purchases of a window longer than the usual one come in blocks of days, and
+    ``days=purchases`` tells which day a place in a block is. ``form`` may be csv
+    for readers other than Spark.
     """
     folder = f"{out}/start_date={p.start:%Y%m%d}/end_date={p.end:%Y%m%d}"
-    t = replace(t, purchases=shared_receipts(spark, t, p))
-    parts = [*sections(spark, t, p), purchase_section(t, p)]
+    t = replace(t, purchases=shared_receipts(spark, t.purchases, p))
+    blocked = p.end - p.long_start > dt.timedelta(days=V.LONG_WINDOW_DAYS)
+    purchases = (purchase_blocks_section if blocked else purchase_section)(t, p)
+    parts = [*sections(spark, t, p), purchases]
 
     def write(part: Section) -> None:
         shown = part.shown().toDF(*part.headings)
@@ -160,6 +186,9 @@ def write_report(
     # Sections are small next to the window they come from: run side by side.
     with ThreadPool(SECTIONS_AT_ONCE) as pool:
         pool.map(inheritable_thread_target(spark)(write), parts)
+    if blocked:
+        days = R.block_days(t.purchases, p).select("block", "place", F.col("day").cast("string").alias("day"))
+        days.orderBy("block", "place").write.mode("overwrite").format(form).save(f"{folder}/days=purchases")
     message = R.or_message(R.completed_receipts(t.purchases, p), empty_message(p))
     message.write.mode("overwrite").text(f"{folder}/message=purchases")
     section_index(spark, parts).coalesce(1).write.mode("overwrite").parquet(f"{folder}/index")

@@ -107,24 +107,33 @@ def online_summary(lines: DataFrame, inventory: DataFrame, p: ReportParams) -> D
     return _by_units(shown, SUMMARY_COLUMNS)
 
 
+def offline_lines(lines: DataFrame, p: ReportParams) -> DataFrame:
+    """What the offline report needs of the lines of the wholesale shop."""
+    chosen = lines.where(filters.one_of("shop_no", [p.wholesale_shop]))
+    return chosen.select("shop_no", "stockout_id", "sid", "trade_no", ITEM, UNITS, AMOUNT)
+
+
 def offline_summary(
     lines: DataFrame,
     headers: DataFrame,
     inventory: DataFrame,
     p: ReportParams,
     fanout: bool = False,
+    span: joins.Span | None = None,
 ) -> DataFrame:
     """The wholesale shop, split by what the service remark says.
 
     Needs real lines, as the remark is found by document. Only headers whose
     remark holds the phrase are joined: that filter reaches their scan, and a
     line that meets none belongs to the other class. With ``fanout`` every
-    header of a trade counts, so all of them are joined.
+    header of a trade counts, so all of them are joined. ``span`` is that of the
+    lines' documents (their trades, with ``fanout``): headers out of it aren't read.
     """
-    chosen = lines.where(filters.one_of("shop_no", [p.wholesale_shop]))
-    needed = chosen.select("stockout_id", "sid", "trade_no", ITEM, UNITS, AMOUNT)
+    needed = offline_lines(lines, p).drop("shop_no")
     if not fanout:
         headers = headers.where(filters.holds("cs_remark", p.remark_phrase))
+    if span is not None:
+        headers = headers.where(span.holds("trade_no" if fanout else "stockout_id"))
     remarked = joins.with_header(needed, headers, ["cs_remark"], fanout)
     kind = classify.remark_class(F.col("cs_remark"), p.remark_phrase, p.remark_label)
     summary = cost_summary(per_item(remarked, kind.alias("kind")), inventory, "kind")
@@ -286,8 +295,28 @@ def purchase_detail(
     return as_doubles(ordered, ordered.columns[2:])
 
 
+def block_days(purchases: DataFrame, p: ReportParams) -> DataFrame:
+    """Days of the long window with a receipt, numbered by block and place."""
+    return A.numbered_days(A.distinct_days(receipts(purchases, p, p.statuses), "stockin_time"), V.LONG_WINDOW_DAYS + 1)
+
+
+def purchase_blocks(
+    purchases: DataFrame,
+    p: ReportParams,
+    amount_name: str = "amount_{place}",
+    count_name: str = "count_{place}",
+) -> DataFrame:
+    """Amount and count per item and day for windows too long for a column a day:
+    blocks of days below each other, total on top of each."""
+    wide = A.blocked_pivot(
+        purchase_days(purchases, p), PURCHASE_KEYS, block_days(purchases, p), amount_name, count_name, V.TOTAL_LABEL
+    )
+    ordered = wide.orderBy("block", F.desc("is_total"), *PURCHASE_KEYS).drop("is_total")
+    return as_doubles(ordered, ordered.columns[3:])
+
+
 def purchase_days(purchases: DataFrame, p: ReportParams) -> DataFrame:
-    """The same numbers in long form, for windows too long for columns."""
+    """The same numbers in long form."""
     return A.daily_totals(
         completed_receipts(purchases, p),
         PURCHASE_KEYS,

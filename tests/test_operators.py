@@ -5,6 +5,7 @@ import io
 import random
 import shutil
 from contextlib import redirect_stdout
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -201,6 +202,39 @@ def test_long_pivot_gives_the_wide_one(spark, receipts):
             assert cell == from_long.get((row.no, str(day)), (0, 0))
 
 
+def test_blocks_give_the_long_form(spark):
+    """Five blocks of three days, the last one with one day, against the daily totals."""
+    chance = random.Random(3)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=2 * i) for i in range(13)]
+    rows = [
+        (chance.choice(["a", "b", None]), str(chance.choice(days)), Decimal(chance.randrange(9)), Decimal(1)) for _ in range(60)
+    ] + [("c", str(day), Decimal(0), Decimal(2)) for day in days]
+    table = spark.createDataFrame(rows, "no STRING, day STRING, cost DECIMAL(18,2), n DECIMAL(18,2)").withColumn(
+        "ts", F.col("day").cast("timestamp_ntz")
+    )
+    long = A.daily_totals(table, ["no"], "ts", "cost", "n")
+    numbered = A.numbered_days(long.select("day").distinct(), 3)
+    places = {(r.block, r.place): r.day for r in numbered.collect()}
+    assert [places[b, p] for b, p in sorted(places)] == days
+    assert {r.block: r.held for r in numbered.collect()} == {1: 3, 2: 3, 3: 3, 4: 3, 5: 1}
+    expected = {(r.no, r.day): (r.amount, r["count"]) for r in long.collect()}
+    for key, day in list(expected):
+        total = expected.get(("T", day), (0, 0))
+        expected["T", day] = tuple(a + b for a, b in zip(total, expected[key, day]))
+    wide = A.blocked_pivot(long, ["no"], numbered, total="T", width=3).collect()
+    seen = {}
+    for row in wide:
+        assert row.is_total == (row.no == "T")
+        for place in (1, 2, 3):
+            cell = (row[f"amount_{place}"], row[f"count_{place}"])
+            if (row.block, place) not in places:
+                assert cell == (None, None)
+            elif cell != (0, 0) or (row.no, places[row.block, place]) in expected:
+                seen[row.no, places[row.block, place]] = cell
+    assert seen == expected and len({(r.block, r.no) for r in wide}) == len(wide)
+    assert A.blocked_pivot(long.limit(0), ["no"], numbered, width=3).count() == 0
+
+
 def test_pivot_without_days(spark, receipts):
     assert A.daily_pivot(receipts, ["no"], "ts", "cost", "n", []).columns == ["no"]
 
@@ -217,6 +251,22 @@ def test_slots(spark):
     assert slots.hourly_slots(spark, dt.date(2024, 1, 10)).count() == 288
 
 
+def test_span_of_nulls_and_nothing(spark, monkeypatch):
+    rows = spark.createDataFrame([("b",), ("d",), (None,)], "k STRING")
+    other = spark.createDataFrame([("a",), ("c",), ("e",), (None,)], "k STRING")
+
+    def inside(span):
+        return {r.k for r in other.where(span.holds("k")).collect()}
+
+    assert inside(joins.span_of(rows, "k")) == {None}  # few values are asked for one by one
+    assert inside(joins.span_of(other, "k")) == {"a", "c", "e", None}
+    monkeypatch.setattr(joins, "FEW_VALUES", 0)
+    assert inside(joins.span_of(rows, "k")) == {"c", None}
+    assert inside(joins.span_of(rows.where("k IS NOT NULL"), "k")) == {"c"}
+    assert inside(joins.span_of(rows.where("k IS NULL"), "k")) == {None}
+    assert inside(joins.span_of(rows.limit(0), "k")) == set()
+
+
 def test_joins_keep_unmatched_rows(spark):
     lines = spark.createDataFrame(
         [("1", "s", "t", "i1"), ("2", "s", "t", "i2")],

@@ -5,6 +5,7 @@ import io
 import random
 from collections import defaultdict
 from contextlib import redirect_stdout
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -249,6 +250,63 @@ def test_report_files(spark, tmp_path, inventory, products, headers):
     )
 
 
+def scanned_rows(table):
+    """Rows each scan of a finished plan has put out, by the columns it reads."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            found.append((node.schema().simpleString(), node.metrics().apply("numOutputRows").value()))
+        inner = [node.children().apply(i) for i in range(node.children().size())]
+        inner += [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else []
+        for each in inner:
+            walk(each)
+
+    walk(table._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_headers_out_of_the_span_are_not_read(spark, inventory, tmp_path):
+    """20,000 headers in months of their own; the window's documents are 200 of them."""
+    path = str(tmp_path / "headers")
+    rows = spark.range(20_000).select(
+        F.format_string("d%06d", "id").alias("stockout_id"), F.lit("s").alias("sid"),
+        F.format_string("t%06d", "id").alias("trade_no"),
+        F.when(F.col("id") % 3 == 0, "a gift").otherwise("none").alias("cs_remark"),
+        F.format_string("2024-%02d", F.expr("id div 2000")).alias("month"),
+    )
+    U.upsert_table(spark, path, rows, ["stockout_id", "sid"], [F.desc("trade_no")], "month")
+    headers = spark.read.parquet(path)
+    lines = detail(spark, *(line(doc=f"d{i:06}", shop="010", amount=str(i)) for i in range(4100, 4300)))
+    plain = R.offline_summary(R.in_window(lines, P), headers, inventory, P)
+    expected = plain.collect()
+    report = bundle.offline_report(spark, lines, headers, inventory, P)
+    assert report.collect() == expected and len(expected) == 3
+    assert expected[0].revenue + expected[1].revenue == expected[2].revenue
+
+    def of_headers(table):
+        return sum(n for columns, n in scanned_rows(table) if "cs_remark" in columns)
+
+    assert of_headers(plain) > 19_000 and of_headers(report) <= 2_000
+
+
+def test_long_window_comes_in_blocks(spark, tmp_path, inventory, products, headers):
+    days = [dt.date(2023, 1, 1) + dt.timedelta(days=3 * i) for i in range(70)]
+    receipts = purchases(spark, *(("g1", "n1", str(d), "已完成", 5, 1) for d in days), ("g2", "n2", "2023-01-01", "已完成", 7, 2))
+    p = replace(P, long_start=dt.date(2023, 1, 1))
+    t = tables_of(spark, inventory, products, headers, [line()], receipts)
+    folder = bundle.write_report(spark, t, p, str(tmp_path))
+    places = {(r.block, r.place): r.day for r in spark.read.parquet(f"{folder}/days=purchases").collect()}
+    assert [places[k] for k in sorted(places)] == [str(d) for d in days]
+    section = spark.read.parquet(f"{folder}/section=purchases")
+    assert len(section.columns) == 3 + 62
+    rows = {(r.block, r[1]): r for r in section.collect()}
+    assert sorted(rows) == sorted([("1", V.TOTAL_LABEL), ("1", "g1"), ("1", "g2"), *((b, n) for b in "23" for n in (V.TOTAL_LABEL, "g1"))])
+    assert rows["1", V.TOTAL_LABEL][3:5] == ("12", "3") and rows["1", "g2"][5:7] == ("", "")
+    assert {r.section: r.rows for r in bundle.written_sections(spark, folder).collect()}["purchases"] == 7
+
+
 def test_hot_item_against_line_by_line_sums(spark, inventory, headers, products):
     """A third of the lines are of one item and one document."""
     chance = random.Random(7)
