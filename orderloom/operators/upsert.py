@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderloom.operators.joins import span_of
 from orderloom.session import remove, staging_path
 
 
@@ -141,13 +142,17 @@ def upsert_table(
     newest_first: Sequence[Column],
     partition: str,
     keys_move: bool = True,
+    load: str | None = None,
+    origin: Sequence[str] = (),
 ) -> None:
     """Upsert into a partitioned Parquet table, reading and rewriting touched
     partitions only.
 
     Touched are the partitions the batch writes to and those its keys are
-    stored in. Finding the latter reads the stored keys; ``keys_move=False``
-    spares that where a key never changes its partition. The partition column
+    stored in. Finding the latter reads the row groups that can hold the batch's keys:
+    by Bloom filters where they are few, else between the least and the greatest;
+    ``keys_move=False`` spares that where a key never changes its
+    partition. The partition column
     is a plain text, such as a month.
 
     Stored rows compete with those of the batch: ``newest_first`` decides, ties
@@ -159,10 +164,14 @@ def upsert_table(
     there is finished by the next one from the staged rows. A run that breaks
     off earlier has changed nothing. Staging folders belong to the table, which
     takes one load at a time.
+
+    With the name of a ``load``, what it did with each of its keys is written along
+    with the partitions and read by ``table_changes``; ``origin`` are columns that
+    don't count as values.
     """
     path = path.rstrip("/")
-    finish_replacing(spark, path, partition)
-    stage = {name: staging_path(path, name) for name in ("batch", "touched", "merged")}
+    finish_replacing(spark, path, partition, keys)
+    stage = {name: staging_path(path, name) for name in ("batch", "touched", "merged", "changes")}
     sent = latest_per_key(batch, keys, total_order(batch, newest_first))
     sent.write.mode("overwrite").parquet(stage["batch"])
     latest = spark.read.parquet(stage["batch"])
@@ -172,7 +181,9 @@ def upsert_table(
     target = stored_table(spark, path, latest.schema)
     touched = latest.select(partition)
     if keys_move:
-        stored = known_rows(target.select(*keys, partition), latest, keys)
+        # Keys out of the batch's span are skipped where they are stored.
+        near = target.where(span_of(latest, keys[0]).holds(keys[0]))
+        stored = known_rows(near.select(*keys, partition), latest, keys)
         touched = touched.union(stored.select(partition))
     # Names of partitions, of which a table has a bounded number.
     names = sorted(row[0] for row in touched.distinct().collect())
@@ -184,11 +195,17 @@ def upsert_table(
     winners = latest_per_key(rivals, keys, total_order(latest, newest_first))
     merged = unknown_rows(old, latest, keys).unionByName(winners)
     merged.write.mode("overwrite").parquet(stage["merged"])
+    if load is not None:
+        kept = spark.read.parquet(stage["merged"])
+        changes = row_changes(known_rows(old, latest, keys), known_rows(kept, latest, keys), keys, origin)
+        changes.withColumn("load", F.lit(load)).write.mode("overwrite").parquet(stage["changes"])
+    else:
+        remove(spark, stage["changes"])
     spark.createDataFrame([(n,) for n in names], f"`{partition}` STRING").write.mode("overwrite").parquet(
         stage["touched"]
     )
     _mark(spark, path, REPLACING)
-    finish_replacing(spark, path, partition)
+    finish_replacing(spark, path, partition, keys)
 
 
 REPLACING, MERGING, WHOLE = "replacing", "merging ", "whole"
@@ -211,22 +228,48 @@ def _noted(spark: SparkSession, path: str) -> str | None:
     return row and row.value
 
 
-def finish_replacing(spark: SparkSession, path: str, partition: str) -> None:
+def finish_replacing(spark: SparkSession, path: str, partition: str, keys: Sequence[str] = ()) -> None:
     """Replace the touched partitions by the staged rows if the table is marked so."""
     path = path.rstrip("/")
     if _noted(spark, staging_path(path, "state")) != REPLACING:
         return
     staged = spark.read.parquet(staging_path(path, "merged"))
     touched = spark.read.parquet(staging_path(path, "touched"))
-    write_partitions(staged, path, partition)
+    write_partitions(staged, path, partition, keys)
     # Partitions all rows have moved out of.
     for row in touched.join(staged.select(partition).distinct(), partition, "left_anti").collect():
         remove(spark, f"{path}/{partition}={row[0]}")
+    changes = stored_table(spark, staging_path(path, "changes"), None)
+    if changes is not None:
+        feed = changes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        feed.partitionBy("load").parquet(f"{path}/_changes")
     _mark(spark, path, WHOLE)
-    for name in ("batch", "touched", "merged"):
+    for name in ("batch", "touched", "merged", "changes"):
         remove(spark, staging_path(path, name))
 
 
+def row_changes(before: DataFrame, after: DataFrame, keys: Sequence[str], origin: Sequence[str] = ()) -> DataFrame:
+    """What became of each key: inserted, updated or unchanged, by value.
+
+    Both sides are put below each other and grouped by key, one row each.
+    """
+    values = F.xxhash64(*sorted(set(after.columns) - set(origin)))
+    none = F.lit(None).cast("long")
+    stored = before.select(*keys, values.alias("old"), none.alias("new"))
+    kept = after.select(*keys, none.alias("old"), values.alias("new"))
+    seen = stored.unionByName(kept).groupBy(*keys).agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    action = (
+        F.when(F.col("old").isNull(), "inserted").when(F.col("old") == F.col("new"), "unchanged").otherwise("updated")
+    )
+    return seen.select(*keys, action.alias("action"))
+
+
+def table_changes(spark: SparkSession, path: str) -> DataFrame | None:
+    """Keys of the loads that were given a name, with ``load`` and ``action``; None
+    before the first."""
+    return stored_table(spark, f"{path.rstrip('/')}/_changes", None)
+
+
 def append_table(
     spark: SparkSession,
     path: str,
@@ -241,9 +284,12 @@ def append_table(
     A load that is run again replaces its own folder and does not count its
     earlier rows as stored, so a document never enters by halves. ``run`` tells
     what a load reads; a name that another run has taken is refused.
+
+    The batch is staged, as it is asked for its keys first, and stored keys are read
+    between its least and greatest only: loads lie in order of their keys.
     """
     path = path.rstrip("/")
-    finish_merging(spark, path, partition)
+    finish_merging(spark, path, partition, keys)
     note, run = f"{path}/_loads/{load}", run or load
     taken = _noted(spark, note)
     if taken not in (None, run):
@@ -253,34 +299,55 @@ def append_table(
     if known is not None:
         if taken is None and not known.where(F.col("load") == load).isEmpty():
             raise ValueError(f"load {load} is there, without a note of what it read")
-        batch = fresh_rows(batch, known.where(F.col("load") != load), keys)
+    staged = staging_path(path, "batch")
+    batch.write.mode("overwrite").parquet(staged)
+    batch = spark.read.schema(batch.schema).parquet(staged)
+    if known is not None:
+        near = known.where((F.col("load") != load) & span_of(batch, keys[0]).holds(keys[0]))
+        batch = fresh_rows(batch, near, keys)
     spark.range(1, numPartitions=1).select(F.lit(run)).write.mode("overwrite").text(note)
-    _write_load(batch, f"{path}/load={load}", partition)
+    _write_load(batch, f"{path}/load={load}", partition, keys)
+    remove(spark, staged)
+
+
+def _indexed(writer: DataFrameWriter, keys: Sequence[str]) -> DataFrameWriter:
+    """With a Bloom filter of the first key in each row group, as large as it needs."""
+    if not keys:
+        return writer
+    return writer.option(f"parquet.bloom.filter.enabled#{keys[0]}", "true").option(
+        "parquet.bloom.filter.adaptive.enabled", "true"
+    )
 
 
-def _write_load(rows: DataFrame, folder: str, partition: str | None) -> None:
+def _write_load(rows: DataFrame, folder: str, partition: str | None, keys: Sequence[str] = ()) -> None:
     if partition is None:
-        rows.write.mode("overwrite").parquet(folder)
+        dealt = rows.sortWithinPartitions(*keys) if keys else rows
+        _indexed(dealt.write, keys).mode("overwrite").parquet(folder)
     else:
-        rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(folder)
+        dealt = rows.hint("rebalance", partition).sortWithinPartitions(partition, *keys)
+        _indexed(dealt.write, keys).mode("overwrite").partitionBy(partition).parquet(folder)
 
 
-def merge_loads(spark: SparkSession, path: str, into: str, partition: str | None = None) -> None:
+def merge_loads(
+    spark: SparkSession, path: str, into: str, partition: str | None = None, keys: Sequence[str] = ()
+) -> None:
     """Put the rows of all loads so far into one, so that readers list few files.
 
     The rows are staged and the table is marked before a load goes, as an upsert
     does it. Notes of the merged loads stay: their names are not free again.
     """
     path = path.rstrip("/")
-    finish_merging(spark, path, partition)
+    finish_merging(spark, path, partition, keys)
     table = spark.read.parquet(path)
     table.select("load").distinct().write.mode("overwrite").parquet(staging_path(path, "touched"))
     table.drop("load").write.mode("overwrite").parquet(staging_path(path, "merged"))
     _mark(spark, path, MERGING + into)
-    finish_merging(spark, path, partition)
+    finish_merging(spark, path, partition, keys)
 
 
-def finish_merging(spark: SparkSession, path: str, partition: str | None = None) -> None:
+def finish_merging(
+    spark: SparkSession, path: str, partition: str | None = None, keys: Sequence[str] = ()
+) -> None:
     """Replace the merged loads by the staged rows if the table is marked so."""
     state = _noted(spark, staging_path(path, "state")) or ""
     if not state.startswith(MERGING):
@@ -288,27 +355,33 @@ def finish_merging(spark: SparkSession, path: str, partition: str | None = None)
     into = state.removeprefix(MERGING)
     for row in spark.read.parquet(staging_path(path, "touched")).collect():  # a name per load
         remove(spark, f"{path}/load={row[0]}")
-    _write_load(spark.read.parquet(staging_path(path, "merged")), f"{path}/load={into}", partition)
+    _write_load(spark.read.parquet(staging_path(path, "merged")), f"{path}/load={into}", partition, keys)
     _mark(spark, path, WHOLE)
     for name in ("touched", "merged"):
         remove(spark, staging_path(path, name))
 
 
-def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+def stored_table(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame | None:
     """The table at this path, or None where there is no such folder."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def write_partitions(rows: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions that occur in the rows, with files of even size."""
+def write_partitions(rows: DataFrame, path: str, partition: str, keys: Sequence[str] = ()) -> None:
+    """Replace the partitions that occur in the rows, with files of even size.
+
+    Rows of a file are in order of the keys and each row group has a Bloom filter of
+    the first one, so that readers who know which ones they want skip row groups. The
+    writer sorts by partition in any case.
+    """
+    dealt = rows.hint("rebalance", partition).sortWithinPartitions(partition, *keys)
     (
-        rows.hint("rebalance", partition)
-        .write.mode("overwrite")
+        _indexed(dealt.write, keys)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

@@ -237,6 +237,34 @@ def purchases_sql(p) -> str:
     UNION ALL SELECT {TOTAL}, {TOTAL}, {cells} FROM chosen"""
 
 
+def blocks(keys: str, where: str, numbered: str) -> str:
+    """Selects of blocks of 31 of the days that ``numbered`` has, over ``purchases``."""
+    cells = []
+    for place in range(1, 32):
+        for name, column in (("amount", "detail_total_cost"), ("count", "detail_goods_count")):
+            cells.append(
+                f"CASE WHEN held >= {place} THEN CAST(sum(CASE WHEN place = {place} THEN {column} ELSE 0 END) "
+                f"AS DOUBLE) END AS {name}_{place}"
+            )
+    return f"""
+    WITH {PURCHASES},
+    days AS (SELECT DISTINCT CAST(stockin_time AS DATE) AS day FROM purchases WHERE {numbered}),
+    ranked AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS n FROM days),
+    placed AS (SELECT day, CAST(n // 31 + 1 AS INTEGER) AS block, n % 31 + 1 AS place,
+                      count(*) OVER (PARTITION BY n // 31) AS held FROM ranked),
+    chosen AS (SELECT * FROM purchases JOIN placed ON CAST(stockin_time AS DATE) = day WHERE {where})
+    SELECT block, {keys}, {", ".join(cells)} FROM chosen GROUP BY block, held, {keys}"""
+
+
+def purchase_blocks_sql(p) -> str:
+    keys = "detail_goods_no, detail_goods_name"
+    statuses = month(p).rsplit(" AND ", 1)[0] + f" AND status_CN IN {listed(p.statuses)}"
+    items = blocks(keys, month(p), statuses)
+    select = items[items.index("SELECT block, "):]
+    total = select.replace(f"block, {keys}", f"block, {TOTAL} AS detail_goods_no, {TOTAL} AS detail_goods_name", 1)
+    return f"{items} UNION ALL {total.replace(f'held, {keys}', 'held')}"
+
+
 # Landed pages -----------------------------------------------------------------
 
 PAGE_CODE = "CASE WHEN l_tax = 0.07 THEN 1050 WHEN l_tax < 0.08 THEN 0 END"
@@ -551,7 +579,8 @@ ORACLE: dict[str, str] = {
         f"CAST(sum(CASE WHEN l_returnflag = '{f}' THEN CAST(l_extendedprice AS {M}) ELSE 0 END)"
         f" AS DOUBLE) AS amount_{f}" for f in "ANR")}
       FROM lineitem GROUP BY l_linenumber""",
-    "pivot_daily": f"""
+    "pivot_daily": blocks("detail_goods_no", month(Q.WHOLE), month(Q.WHOLE)),
+    "pivot_daily_month": f"""
       WITH {PURCHASES} SELECT detail_goods_no,
         {day_cells(month_days(Q.MONTH), "detail_total_cost", "detail_goods_count")}
       FROM purchases WHERE {month(Q.MONTH)} GROUP BY detail_goods_no""",
@@ -670,7 +699,8 @@ ORACLE: dict[str, str] = {
         WHEN b.trade_id IS NOT NULL THEN 'updated' ELSE 'unchanged' END AS action, count(*) AS n
       FROM target t FULL JOIN batch b ON t.trade_id = b.trade_id GROUP BY 1""",
     "stream_dedupe": f"SELECT {EVENT_OUT} FROM events",
-    "report_purchases": purchases_sql(Q.MONTH),
+    "report_purchases": purchase_blocks_sql(Q.WHOLE),
+    "report_purchases_month": purchases_sql(Q.MONTH),
     "empty_placeholder": f"SELECT '{Q.bundle.empty_message(Q.MONTH)}' AS message",
 }
 _ALLOWED = f"AND 'wh-' || l_suppkey IN {listed(Q.ALLOWED)}"
@@ -758,12 +788,14 @@ def sections_sql(p) -> str:
         counted(4, "inventory", f"{p.end:%Y%m%d} {V.TITLE_INVENTORY}", inventory_sql(p)),
         counted(5, "sku_offline", V.SHEET_SKU_OFFLINE, sku_sql(p, p.offline_shops)),
         counted(6, "sku_online", V.SHEET_SKU_ONLINE, sku_sql(p, p.online_shops)),
-        counted(7, "purchases", V.SHEET_PURCHASES, purchases_sql(p)),
+        counted(7, "purchases", V.SHEET_PURCHASES,
+                purchases_sql(p) if p is Q.MONTH else purchase_blocks_sql(p)),
     ])
 
 
 ORACLE["report_bundle"] = bundle_sql(Q.WHOLE)
-ORACLE["report_sections"] = sections_sql(Q.MONTH)
+ORACLE["report_sections"] = sections_sql(Q.WHOLE)
+ORACLE["report_sections_month"] = sections_sql(Q.MONTH)
 
 
 # Streams over landings --------------------------------------------------------
@@ -789,3 +821,19 @@ ORACLE["stream_dedupe_window"] = f"""
   SELECT {EVENT_OUT} FROM (
     SELECT * REPLACE (ts + INTERVAL {3 * Q.LANDING_DAYS} DAY AS ts) FROM events
     WHERE event_id % 7 = 0 AND date_part('day', ts) <= {Q.LANDING_DAYS})"""
+
+
+# Loads with a choice of pages, and what loads have done ------------------------
+
+ORACLE["stream_completeness"] = ORACLE["page_completeness"]
+_LOW = Q.LOOKBACK_FROM - dt.timedelta(days=Q.LOOKBACK_DAYS)
+ORACLE["load_orders_lookback"] = f"""
+  SELECT {projection(S.ORDER_COLUMNS, S.ORDER_FIELDS, ORDER_VALUES)}
+  FROM orders WHERE o_orderpriority <> '1-URGENT'
+    AND o_orderdate + INTERVAL 1 DAY >= TIMESTAMP '{_LOW}' AND o_orderdate <= TIMESTAMP '{Q.LOOKBACK_FROM}'"""
+ORACLE["load_orders_changes"] = """
+  WITH good AS (SELECT o_orderstatus = 'F' AS finished FROM orders WHERE o_orderpriority <> '1-URGENT')
+  SELECT 'load-0' AS load, 'inserted' AS action, count(*) AS n FROM good WHERE finished
+  UNION ALL SELECT 'load-1', 'updated', count(*) FROM good WHERE finished
+  UNION ALL SELECT 'load-1', 'inserted', count(*) FROM good WHERE NOT finished
+  UNION ALL SELECT 'load-2', 'unchanged', count(*) FROM good"""

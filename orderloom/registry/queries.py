@@ -469,6 +469,18 @@ def _daily(spark, folder):
 
 @query
 def pivot_daily(spark, folder):
+    """All years in blocks of days."""
+    purchases, *shape = _daily(spark, folder)
+    path = scratch_path(spark, "daily")
+    A.daily_totals(R.completed_receipts(purchases, WHOLE), *shape).write.parquet(path)
+    long = spark.read.parquet(path)
+    days = A.numbered_days(long.select("day").distinct(), 31)
+    wide = A.blocked_pivot(long, shape[0], days)
+    return doubles(wide, *wide.columns[2:])
+
+
+@query
+def pivot_daily_month(spark, folder):
     purchases, *shape = _daily(spark, folder)
     found = R.completed_receipts(purchases, MONTH)
     days = [MONTH.long_start + dt.timedelta(days=i) for i in range(31)]
@@ -767,6 +779,53 @@ def load_orders_pages(spark, folder):
     return plain(spark.read.parquet(f"{base}/table").drop(*flatten.ORIGIN, S.TRADE_MONTH))
 
 
+LOOKBACK_FROM, LOOKBACK_DAYS = dt.datetime(1998, 3, 8, 12), 365
+
+
+@query
+def load_orders_lookback(spark, folder):
+    """All orders have landed by the last day of their window; a year before a day is loaded."""
+    base = scratch_path(spark, "load-lookback")
+    pages = D.order_pages(spark, folder).withColumn(P.DAY_FOLDER, F.substring(F.get_json_object("body", "$.end_time"), 1, 4))
+    whole = F.concat(F.col(P.DAY_FOLDER), F.lit("-12-31"))
+    # A folder per year keeps the test small; it is named by its last day.
+    landed = pages.withColumn(P.DAY_FOLDER, whole).hint("rebalance", P.DAY_FOLDER)
+    landed.write.partitionBy(P.DAY_FOLDER).text(f"{base}/pages")
+    found = P.chosen_pages(P.read_pages(spark, f"{base}/pages", P.ORDER), LOOKBACK_FROM, LOOKBACK_DAYS, [D.SID])
+    loads.load_orders(spark, found, f"{base}/table", f"{base}/rejects")
+    return plain(spark.read.parquet(f"{base}/table").drop(*flatten.ORIGIN, S.TRADE_MONTH))
+
+
+@query
+def load_orders_changes(spark, folder):
+    """What three loads of orders did: finished ones, all with finished ones in a newer
+    state, and all again."""
+    base = scratch_path(spark, "load-changes")
+    newer = {"trade_status": "'newer'", "modified": _day_later(1)}
+    for number, pages in enumerate((
+        D.order_pages(spark, folder, "o_orderstatus = 'F'"),
+        D.order_pages(spark, folder, "o_orderstatus = 'F'", newer).union(
+            D.order_pages(spark, folder, "o_orderstatus <> 'F'")
+        ),
+        D.order_pages(spark, folder),
+    )):
+        parsed = P.parse_pages(pages, "body", P.ORDER)
+        loads.load_orders(spark, parsed, f"{base}/table", f"{base}/rejects/{number}", load=f"load-{number}")
+    changes = U.table_changes(spark, f"{base}/table")
+    return changes.groupBy("load", "action").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_completeness(spark, folder):
+    """Pages of orders land in three steps, and marks are kept; older ones land again."""
+    base = scratch_path(spark, "stream-completeness")
+    for only in ("o_orderstatus = 'F'", "o_orderstatus <> 'F'", "o_orderkey % 5 = 0"):
+        D.order_pages(spark, folder, only).repartition(2).write.mode("append").text(f"{base}/pages")
+    stream = P.stream_pages(spark, f"{base}/pages", P.ORDER, files_per_batch=1)
+    jobs.completeness_stream(stream, P.ORDER, f"{base}/marks", f"{base}/checkpoint", compact_every=2)
+    return plain(jobs.known_completeness(spark, f"{base}/marks", P.ORDER))
+
+
 @query
 def load_purchases_pages(spark, folder):
     """Receipts land, are loaded, and land again with other lines."""
@@ -884,9 +943,9 @@ def _online(p):
 
 def _offline(p):
     def run(spark, folder):
-        lines = _lines(spark, folder, p, "shop_no").drop("cs_remark")
+        lines = D.sales_detail(spark, folder, ["status_CN", "shop_no"]).drop("cs_remark")
         headers = D.sales_header(spark, folder)
-        return R.offline_summary(lines, headers, D.inventory(spark, folder), p)
+        return bundle.offline_report(spark, lines, headers, D.inventory(spark, folder), p)
     return run
 
 
@@ -918,6 +977,12 @@ for _suffix, _p in (("", WHOLE), ("_week", WEEK)):
 
 @query
 def report_purchases(spark, folder):
+    """All years in blocks of days."""
+    return R.purchase_blocks(bundle.shared_receipts(spark, D.purchases(spark, folder), WHOLE), WHOLE)
+
+
+@query
+def report_purchases_month(spark, folder):
     return R.purchase_detail(D.purchases(spark, folder), MONTH)
 
 
@@ -947,9 +1012,14 @@ def report_bundle(spark, folder):
     return bundle.stacked(parts)
 
 
-@query
-def report_sections(spark, folder):
-    """What has been written of each section: its title and its rows."""
-    out = scratch_path(spark, "report")
-    written = bundle.write_report(spark, _tables(spark, folder), MONTH, out)
-    return bundle.written_sections(spark, written)
+def _sections(p):
+    def run(spark, folder):
+        """What has been written of each section: its title and its rows."""
+        out = scratch_path(spark, "report")
+        written = bundle.write_report(spark, _tables(spark, folder), p, out)
+        return bundle.written_sections(spark, written)
+    return run
+
+
+QUERIES["report_sections"] = _sections(WHOLE)
+QUERIES["report_sections_month"] = _sections(MONTH)

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    # Lists of so many keys reach the Bloom filters of a scan; longer ones go as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 

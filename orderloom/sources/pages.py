@@ -6,6 +6,8 @@ number) and the response envelope with its list of documents.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,14 @@ JSON_OPTIONS = {
 }
 
 
+# Folder a page may land in: the last day of its request window.
+DAY_FOLDER = "day"
+
+
+def _dated(kind: PageKind) -> StructType:
+    return StructType(kind.schema.fields).add(DAY_FOLDER, "string")
+
+
 def _with_arrival(pages: DataFrame) -> DataFrame:
     return pages.select(
         "*",
@@ -59,17 +69,37 @@ def _with_arrival(pages: DataFrame) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str, kind: PageKind) -> DataFrame:
     """All landed pages below a folder, with the file they came in and its time."""
-    return _with_arrival(spark.read.schema(kind.schema).options(**JSON_OPTIONS).json(path))
+    return _with_arrival(spark.read.schema(_dated(kind)).options(**JSON_OPTIONS).json(path))
 
 
 def stream_pages(
     spark: SparkSession, path: str, kind: PageKind, files_per_batch: int = 1000
 ) -> DataFrame:
     """Pages as they land, with the file they came in and its time."""
-    stream = spark.readStream.schema(kind.schema).options(**JSON_OPTIONS)
+    stream = spark.readStream.schema(_dated(kind)).options(**JSON_OPTIONS)
     return _with_arrival(stream.option("maxFilesPerTrigger", files_per_batch).json(path))
 
 
+def chosen_pages(
+    pages: DataFrame,
+    as_of: dt.datetime | None = None,
+    days: int = V.LOOKBACK_DAYS,
+    tenants: Sequence[str] | None = None,
+) -> DataFrame:
+    """Pages whose request window meets the last days before ``as_of``, of some tenants.
+
+    Windows that end before that time are known by the folder they landed in: their
+    files aren't opened. Pages landed in no such folder are parsed and asked.
+    """
+    if as_of is not None:
+        low = as_of - dt.timedelta(days=days)
+        at = lambda time: F.lit(str(time)).cast("timestamp_ntz")
+        folder = F.col(DAY_FOLDER)
+        pages = pages.where(folder.isNull() | (folder >= low.date().isoformat()))
+        pages = pages.where((F.col("end_time") >= at(low)) & (F.col("start_time") <= at(as_of)))
+    return pages if tenants is None else pages.where(F.col("sid").isin(list(tenants)))
+
+
 def parse_pages(table: DataFrame, body: str, kind: PageKind) -> DataFrame:
     """Pages held as JSON text in a column of a table.
 
@@ -119,28 +149,51 @@ def documents(pages: DataFrame, kind: PageKind) -> DataFrame:
     return exploded.select("sid", "page_no", *arrival, F.col("pos").alias("place"), "col.*")
 
 
-def page_completeness(pages: DataFrame, kind: PageKind) -> DataFrame:
-    """Per request window: what was declared against what has landed.
+WINDOW = ("sid", "start_time", "end_time")
 
-    Every window that was asked for is there, also if all its pages were refused:
-    nothing of it is declared then, and it isn't complete. Documents count once,
-    however often a page or a document has landed. A window in which nothing was
-    declared is complete with no document.
+
+def window_marks(pages: DataFrame, kind: PageKind) -> DataFrame:
+    """What counts towards the completeness of request windows, each mark once.
+
+    A mark is a page with the total it declares, or a document. Refused pages mark
+    their window and nothing else.
     """
-    window = ["sid", "start_time", "end_time"]
     good = accepted()
-    ids = F.transform(F.col(f"response.{kind.list_field}"), lambda d: d[kind.key])
-    seen = pages.select(
-        *window,
+    ids = F.transform(F.col(f"response.{kind.list_field}"), lambda d: d[kind.key].cast("string"))
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    page = F.struct(
         F.when(good, F.col("response.total_count")).alias("total"),
-        F.when(good, F.col("page_no")).alias("good_page"),
-        F.explode_outer(F.when(good, ids)).alias("document"),
+        F.when(good, F.col("page_no")).alias("page"),
+        none("document", "string"),
+    )
+    documents_of = F.transform(
+        F.filter(F.coalesce(F.when(good, ids), F.array().cast("array<string>")), lambda i: i.isNotNull()),
+        lambda i: F.struct(none("total", "bigint"), none("page", "int"), i.alias("document")),
     )
-    landed = seen.groupBy(*window).agg(
-        F.max("total").alias("declared"),
-        F.count_distinct("document").alias("landed"),
-        F.count_distinct("good_page").alias("pages"),
+    return merged_marks(pages.select(*WINDOW, F.inline(F.concat(F.array(page), documents_of))))
+
+
+def merged_marks(marks: DataFrame) -> DataFrame:
+    """Marks of several landings, each once: those of all their pages."""
+    return marks.groupBy(*WINDOW, "page", "document").agg(F.max("total").alias("total"))
+
+
+def completeness(marks: DataFrame, kind: PageKind) -> DataFrame:
+    """Per request window: what was declared against what has landed, by its marks."""
+    landed = marks.groupBy(*WINDOW).agg(
+        F.max("total").alias("declared"), F.count("document").alias("landed"), F.count("page").alias("pages")
     )
     expected = F.ceil(F.col("declared") / kind.page_size)
     whole = (F.col("landed") >= F.col("declared")) & (F.col("pages") >= F.col("expected_pages"))
     return landed.withColumn("expected_pages", expected).withColumn("complete", F.coalesce(whole, F.lit(False)))
+
+
+def page_completeness(pages: DataFrame, kind: PageKind) -> DataFrame:
+    """Per request window: what was declared against what has landed.
+
+    Every window that was asked for is there, also if all its pages were refused:
+    nothing of it is declared then, and it isn't complete. Documents count once,
+    however often a page or a document has landed. A window in which nothing was
+    declared is complete with no document.
+    """
+    return completeness(window_marks(pages, kind), kind)

@@ -1,5 +1,6 @@
 """Loads of landed pages: order, splits, copies, refused pages, names, recovery."""
 
+import datetime as dt
 import itertools
 import json
 import os
@@ -15,7 +16,9 @@ from orderloom.operators import upsert as U
 from orderloom.plans import loads
 from orderloom.sources import pages as P
 from orderloom.sources import tables
+from orderloom.streaming import jobs
 from tests.test_ingest import land, page, receipt
+from tests.test_reports import scanned_rows
 
 
 def order(number, status, day, **more):
@@ -64,6 +67,36 @@ def test_upsert_reads_touched_partitions_only(spark, tmp_path, monkeypatch):
     assert tables.read_table(spark, path).agg(F.sum("v"), F.count("*")).first()[:] == (301, 300)
 
 
+def test_keys_out_of_the_batchs_span_are_skipped(spark, tmp_path, monkeypatch):
+    """What locating a small batch reads does not grow with the table."""
+    path, read = str(tmp_path / "t"), []
+    plain = U.known_rows
+
+    def watched(rows, other, keys):
+        if "v" not in rows.columns:
+            rows.collect()
+            read.append(sum(n for columns, n in scanned_rows(rows) if "k:" in columns))
+        return plain(rows, other, keys)
+
+    monkeypatch.setattr(U, "known_rows", watched)
+    for month in range(5):
+        rows = spark.range(1000 * month, 1000 * month + 1000).select(
+            F.format_string("%06d", "id").alias("k"), F.lit(1).alias("v"), F.lit(f"m{month}").alias("month")
+        )
+        U.upsert_table(spark, path, rows, ["k"], [F.desc("v")], "month")
+        moved = spark.createDataFrame([("000007", month + 2, "m0"), ("000009", 9, "m9")], "k STRING, v INT, month STRING")
+        U.upsert_table(spark, path, moved, ["k"], [F.desc("v")], "month")
+    table = tables.read_table(spark, path)
+    assert table.count() == 5000 and {r.month for r in table.where("k = '000009'").collect()} == {"m9"}
+    assert table.where("k = '000007'").first().v == 6
+    # The first month's files and the one row of the month a key has moved to.
+    assert set(read[1::2]) <= {1000, 1001}
+    # The first and the last key: their span is the whole table, their Bloom filters aren't.
+    ends = spark.createDataFrame([("000000", 7, "m0"), ("004999", 7, "m4")], "k STRING, v INT, month STRING")
+    U.upsert_table(spark, path, ends, ["k"], [F.desc("v")], "month")
+    assert read[-1] < 2100 and tables.read_table(spark, path).where("v = 7").count() == 2
+
+
 def test_append_does_not_shuffle_stored_keys(spark):
     target = spark.range(0, 100_000, 1, 8).select(F.col("id").cast("string").alias("k"))
     batch = spark.createDataFrame([("5",), ("x",)], "k STRING")
@@ -222,3 +255,129 @@ def test_check_pages(spark, tmp_path):
     assert code == 1 and [(r.declared, r.landed, r.complete) for r in found] == [(None, 0, False)]
     code, found = check("d", *whole, more=["--as-of", "20240131"])
     assert code == 1 and {r.sid for r in found} == {None} and len(found) >= 23
+
+
+def test_json_is_parsed_once(spark, tmp_path, monkeypatch):
+    """With a folder for refused pages, what is written comes from staged columns."""
+    folder = land(tmp_path / "p", page(P.ORDER, [order(1, 10, 1), order(None, 10, 1)]), page(P.ORDER, [], errorcode=9))
+    plans = []
+
+    def watch(name):
+        plain = getattr(U, name)
+
+        def watched(session, path, batch, *rest):
+            plans.append(batch._jdf.queryExecution().toString())
+            return plain(session, path, batch, *rest)
+
+        monkeypatch.setattr(U, name, watched)
+
+    watch("upsert_table")
+    watch("append_table")
+    base = str(tmp_path / "t")
+    loads.load_orders(spark, P.read_pages(spark, folder, P.ORDER), base + "o", base + "ro")
+    loads.load_sales(spark, P.read_pages(spark, folder, P.SALES), base + "h", base + "d", rejects=base + "rs")
+    loads.load_purchases(spark, P.read_pages(spark, folder, P.PURCHASE), base + "p", "l", rejects=base + "rp")
+    assert len(plans) == 4 and all("Format: Parquet" in plan and "Format: JSON" not in plan for plan in plans)
+    assert spark.read.parquet(base + "ro/pages").count() == 1 and spark.read.parquet(base + "ro/orders").count() == 1
+    assert not (tmp_path / "to" / "_staging" / "pages").exists()
+    assert [r.trade_id for r in tables.read_table(spark, base + "o").collect()] == ["1"]
+
+
+def windows(folder, *days):
+    """A page per day, whose window ends then, in the folder of that day."""
+    for day in days:
+        one = page(P.ORDER, [order(day, 10, day)]) | {
+            "start_time": f"2024-01-{day - 1:02} 12:00:00", "end_time": f"2024-01-{day:02} 12:00:00"
+        }
+        place = folder / f"day=2024-01-{day:02}"
+        place.mkdir(parents=True)
+        (place / "p.json").write_text(json.dumps(one) + "\n")
+
+
+def test_look_back_opens_files_of_its_days_only(spark, tmp_path):
+    windows(tmp_path / "in", *range(2, 28))
+    found = P.chosen_pages(P.read_pages(spark, str(tmp_path / "in"), P.ORDER), dt.datetime(2024, 1, 20, 18), 2)
+    days = sorted(r.end_time.day for r in found.collect())
+    assert days == [19, 20, 21]  # the 18th's window ends before the two days begin
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 10  # of 26: the folders from the 18th on
+    out = str(tmp_path / "t")
+    command = ["load-orders", "--pages", str(tmp_path / "in"), "--as-of", "2024-01-20T18:00:00", "--table"]
+    assert main([*command, out, "--checkpoint", str(tmp_path / "cp")]) == 0
+    assert main([*command, out + "2", "--tenant", "s1", "--look-back", "1"]) == 0
+    assert main([*command, out + "3", "--tenant", "other", "--rejects", str(tmp_path / "r")]) == 0
+
+    def ids(path):
+        return sorted(int(r.trade_id) for r in tables.read_table(spark, path).collect())
+
+    assert ids(out) == [19, 20, 21] and ids(out + "2") == [20, 21] and not os.path.exists(out + "3/trade_month=2024-01")
+
+
+def test_pages_without_day_folders_are_asked(spark, tmp_path):
+    folder = land(tmp_path / "p", page(P.ORDER, [order(1, 10, 1)]))
+    pages = P.read_pages(spark, folder, P.ORDER)
+    assert P.chosen_pages(pages, dt.datetime(2024, 1, 4)).count() == 1
+    assert P.chosen_pages(pages, dt.datetime(2024, 1, 9)).count() == 0
+    assert P.chosen_pages(pages, tenants=["s2"]).count() == 0
+
+
+def test_changes_are_kept_with_their_load(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+
+    def load(name, *rows):
+        batch = spark.createDataFrame(rows, "k STRING, v INT, month STRING, place INT")
+        U.upsert_table(spark, path, batch, ["k"], [F.desc("v")], "month", load=name, origin=["place"])
+
+    def changes():
+        found = U.table_changes(spark, path).select("load", "k", "action").collect()
+        return {(r.load, r.k): r.action for r in found}
+
+    load("one", ("a", 1, "m1", 0), ("b", 2, "m1", 1), ("c", 3, "m2", 2))
+    expected = {("one", k): "inserted" for k in "abc"}
+    assert changes() == expected
+    # Newer, same values from another place, older, moved, new.
+    load("two", ("a", 5, "m1", 0), ("b", 2, "m1", 9), ("c", 2, "m2", 0), ("d", 1, "m3", 0))
+    expected |= {("two", "a"): "updated", ("two", "b"): "unchanged", ("two", "c"): "unchanged", ("two", "d"): "inserted"}
+    assert changes() == expected
+
+    def lose(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(U, "write_partitions", lose)
+        with pytest.raises(OSError):
+            load("three", ("d", 7, "m1", 0))
+    assert changes() == expected
+    load(None, ("e", 1, "m1", 0))  # finishes the broken one; keeps no notes of its own
+    assert changes() == expected | {("three", "d"): "updated"}
+    assert tables.read_table(spark, path).where("k = 'd'").select("v", "month").collect() == [(7, "m1")]
+
+
+def test_state_of_landed_windows(spark, tmp_path):
+    """After every landing the marks kept give what all pages give."""
+    docs = [{"trade_id": i} for i in range(110)]
+    later = {"start_time": "2024-01-05 00:00:00", "end_time": "2024-01-06 00:00:00"}
+    landings = [
+        [page(P.ORDER, docs[:100], total=110, page_no=0)],
+        [page(P.ORDER, [], errorcode=9) | later],
+        [page(P.ORDER, docs[:100], total=110, page_no=0), page(P.ORDER, docs[90:105], total=110, page_no=1)],
+        [page(P.ORDER, docs[100:], total=111, page_no=1)],
+        [page(P.ORDER, docs[:1], total=1) | later],
+        [page(P.ORDER, [{"trade_id": 500}, {"trade_id": None}], total=111, page_no=1)],
+    ]
+    source, seen = tmp_path / "in", []
+    for pages in landings:
+        write(source, *pages)
+        stream = P.stream_pages(spark, str(source), P.ORDER, files_per_batch=1)
+        jobs.completeness_stream(stream, P.ORDER, str(tmp_path / "m"), str(tmp_path / "cp"), compact_every=3)
+        kept = jobs.known_completeness(spark, str(tmp_path / "m"), P.ORDER).collect()
+        whole = P.page_completeness(P.read_pages(spark, str(source), P.ORDER), P.ORDER).collect()
+        assert sorted(map(tuple, kept)) == sorted(map(tuple, whole))
+        seen.append({r.start_time.day: (r.declared, r.landed, r.pages, r.complete) for r in kept})
+    assert seen[0] == {1: (110, 100, 1, False)}
+    assert seen[1] == {1: (110, 100, 1, False), 5: (None, 0, 0, False)}
+    assert seen[3][1] == (111, 110, 2, False) and seen[5] == {1: (111, 111, 2, True), 5: (1, 1, 1, True)}
+    assert len([p for p in (tmp_path / "m").iterdir() if p.name.startswith("batch_id")]) <= 4
+    out = str(tmp_path / "out")
+    command = ["check-pages", "--kind", "orders", "--pages", str(source), "--out", out]
+    assert main(command) == main([*command, "--state", str(tmp_path / "state")]) == 0
