@@ -23,12 +23,17 @@ def _turns(conversations: DataFrame, part_turns: int) -> DataFrame:
     )
 
 
+def _name(role: Column) -> Column:
+    """A name as a header shows it: in one line, and without marks of the format."""
+    return F.translate(F.replace(role, F.lit("<|"), F.lit("<\\|")), "\r\n", "  ")
+
+
 def _rendered(turn: Column, speaker: Column) -> Column:
     """A turn's text before and within the mask, as the speaker sees it."""
     head = (
         F.when(turn["role"] == speaker, F.lit("assistant"))
         .when(turn["role"] == SYSTEM, F.lit(SYSTEM))
-        .otherwise(F.concat(F.lit("user name="), turn["role"]))
+        .otherwise(F.concat(F.lit("user name="), _name(turn["role"])))
     )
     return F.struct(
         F.concat(F.lit(OPEN), head, F.lit("\n")).alias("head"),
@@ -41,7 +46,8 @@ def rotated(conversations: DataFrame, part_turns: int = PART_TURNS) -> DataFrame
     """Renderings of every dialogue with each participant as the assistant.
 
     The others are users with their names; turns of the system stay the system's,
-    who is no participant. A row without a role is by ``unknown``, a null text is
+    who is no participant. Names can't forge a turn: their line breaks are spaces, their
+    marks are escaped as in texts. A row without a role is by ``unknown``, a null text is
     empty, rows without ``conv_id`` are one dialogue, turns of one number are in
     order of role and text (null numbers last), and repeated rows stay repeated.
 

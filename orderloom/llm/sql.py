@@ -81,7 +81,7 @@ speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM turns WHERE role <> '
 seen AS (
   SELECT t.conv_id, s.speaker, t.part, t.turn, t.role, t.text, t.role = s.speaker AS own,
          '{chat.OPEN}' || CASE WHEN t.role = s.speaker THEN 'assistant' WHEN t.role = '{chat.SYSTEM}' THEN t.role
-                          ELSE 'user name=' || t.role END || chr(10) AS head,
+                          ELSE 'user name=' || translate(replace(t.role, '<|', '<\\|'), chr(13) || chr(10), '  ') END || chr(10) AS head,
          t.text || '{chat.CLOSE}' AS body,
          row_number() OVER (PARTITION BY t.conv_id, s.speaker, t.part ORDER BY t.turn NULLS LAST, t.role, t.text) AS place
   FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
