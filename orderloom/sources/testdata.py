@@ -191,7 +191,7 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
     """Lines as receipt lines: completed, shipped or unknown."""
     label = (
         F.when(F.col("l_linestatus") == "F", V.RECEIPT_DONE_LABEL)
-        .when(F.col("l_returnflag") == "A", "已发货")
+        .when(F.col("l_returnflag") == "A", V.REPORT_STATUSES[1])
         .otherwise(V.SHIPMENT_STATUS_DEFAULT)
     )
     return table(spark, folder, "lineitem").select(
