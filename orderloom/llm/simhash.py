@@ -19,6 +19,8 @@ DISTANCE = 3
 SPARE_BLOCKS = 3
 # Above this many fingerprints in a block, links come from hubs instead of pairs.
 PAIRED_AT_MOST = 4096
+# Texts whose hashes are held together.
+_TEXTS_AT_ONCE = 1000
 # Lanes of 16 bits count up to this many shingles at once.
 _LANE_LIMIT = 65535
 _LANES = np.uint64(0x0001000100010001)
@@ -67,7 +69,8 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
 
     @F.pandas_udf("long")
     def of(texts):
-        return type(texts)(simhash(texts.tolist(), shingle).view(np.int64))
+        parts = [simhash(texts[at : at + _TEXTS_AT_ONCE].tolist(), shingle) for at in range(0, len(texts), _TEXTS_AT_ONCE)]
+        return type(texts)(np.concatenate(parts).view(np.int64) if parts else [], dtype="int64")
 
     return of(text.cast("string"))
 
