@@ -22,7 +22,7 @@ END = 2
 # Tokens packed together, tokens of a step group.
 BATCH_TOKENS = 2 << 20
 STEP_TOKENS = 64 << 10
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 400_000
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
