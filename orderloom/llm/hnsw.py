@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import staged
-from orderloom.llm.vectors import every, nearest, shard_count, shard_of, usable
+from orderloom.llm.vectors import asked, every, nearest, shard_count, shard_of, usable
 
 K, QUERY_STRIDE = 5, 50
 SHARD_ROWS, GROUP_ROWS = 4096, 4096
@@ -161,7 +161,7 @@ def cosines(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def search_shard(index: dict, query_ids: np.ndarray, queries: np.ndarray, k: int = K, beam: int = BEAM):
-    """(query id, vector id, score) of the best k of a shard for each query."""
+    """(query's place, vector id, score) of the best k of a shard for each query."""
     units, vectors = _units(index["vectors"]), index["vectors"]
     out = []
     for begin in range(0, len(queries), _BLOCK):
@@ -176,16 +176,18 @@ def search_shard(index: dict, query_ids: np.ndarray, queries: np.ndarray, k: int
             entries = _beam_search(units, neighbours, asked, entries, beam if level == 0 else UPPER_BEAM)
         exact = cosines(vectors[entries], block[:, None, :])
         exact[entries < 0] = -np.inf
-        for query_id, nodes, scores in zip(query_ids[begin : begin + _BLOCK].tolist(), entries, exact):
+        for place, (query_id, nodes, scores) in enumerate(zip(query_ids[begin : begin + _BLOCK].tolist(), entries, exact)):
             hits = []
             for at in np.argsort(-scores, kind="stable"):
                 if nodes[at] < 0 or len(hits) >= k and scores[at] < hits[k - 1][0]:
                     break
                 first, last = index["id_starts"][nodes[at]], index["id_starts"][nodes[at] + 1]
-                own = [i for i in index["ids"][first : min(last, first + k + 1)].tolist() if i != query_id]
-                hits += [(scores[at], i) for i in own[:k]]
+                ids = index["ids"][first : min(last, first + k + 1)].tolist()
+                if query_id in ids and (vectors[nodes[at]] == block[place]).all():
+                    ids.remove(query_id)
+                hits += [(scores[at], i) for i in ids[:k]]
             hits.sort(key=lambda h: (-h[0], h[1]))
-            out += [(query_id, i, float(score)) for score, i in hits[:k]]
+            out += [(begin + place, i, float(score)) for score, i in hits[:k]]
     return out
 
 
@@ -244,7 +246,7 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS, links: int = L
 def search(
     index: DataFrame, queries: DataFrame, k: int = K, beam: int = BEAM, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    """The nearest k found for each query, by cosine, its own id left out.
+    """The nearest k found for each query, by cosine, its own row left out.
 
     Returns ``query_id``, ``rank``, ``vec_id`` and ``score``. A query asks every
     shard of its length; a task has one shard and one bounded group of queries.
@@ -258,21 +260,25 @@ def search(
         shard_of(groups).alias("part"),
         "vec_id",
         "vector",
+        asked(),
     )
 
-    def meet(shard: pa.Table, asked: pa.Table) -> pa.Table:
+    def meet(shard: pa.Table, given: pa.Table) -> pa.Table:
         found = []
-        if len(shard) and len(asked):
+        if len(shard) and len(given):
             held = _unpacked(shard.to_pylist()[0])
-            width = asked.column("width")[0].as_py()
-            found = search_shard(held, asked.column("vec_id").to_numpy(), _matrix(asked.column("vector"), width), k, beam)
-        columns = list(zip(*found)) or [(), (), ()]
-        kinds = (pa.int64(), pa.int64(), pa.float64())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["query_id", "vec_id", "score"])
+            width = given.column("width")[0].as_py()
+            ids, marks = given.column("vec_id").to_numpy(), given.column("asked").to_pylist()
+            found = search_shard(held, ids, _matrix(given.column("vector"), width), k, beam)
+            found = [(int(ids[at]), marks[at], i, score) for at, i, score in found]
+        columns = list(zip(*found)) or [(), (), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        names = ["query_id", "asked", "vec_id", "score"]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
     keys = ["width", "shard", "part"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        meet, "query_id long, vec_id long, score double"
+        meet, "query_id long, asked long, vec_id long, score double"
     )
     return nearest(found, k)
 

@@ -103,15 +103,15 @@ def _top_products() -> str:
     """All products of queries and rows, ranked."""
     return f"""
 WITH usable AS (
-  SELECT vec_id, [floor({topk.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS vector
+  SELECT DISTINCT vec_id, [floor({topk.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS vector
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.vec_id AS query_id, q.vector AS asked, c.vec_id,
          list_inner_product(q.vector::DOUBLE[], c.vector::DOUBLE[])::BIGINT AS score
-  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.vector) = len(c.vector)
+  FROM usable q JOIN usable c ON (q.vec_id <> c.vec_id OR q.vector <> c.vector) AND len(q.vector) = len(c.vector)
   WHERE q.vec_id % {topk.QUERY_STRIDE} = 0)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= {topk.K}"""
 
 

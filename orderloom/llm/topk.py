@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import staged
-from orderloom.llm.vectors import every, nearest, shard_count, shard_of, usable
+from orderloom.llm.vectors import asked, every, nearest, shard_count, shard_of, usable
 
 K, QUERY_STRIDE, SCALE = 20, 20, 64
 SHARD_ROWS, GROUP_ROWS = 16_384, 16_384
@@ -39,8 +39,17 @@ class SortedLists:
         self.rows = rows[by_depth]
         self.largest = int(np.abs(rows).max(initial=0))
 
+    def _own(self, query_ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """Places among the ids of the queries' own rows, -1 for none here."""
+        own = np.searchsorted(self.ids, query_ids)
+        last = np.searchsorted(self.ids, query_ids, "right")
+        for at in np.flatnonzero(last - own > 1):  # an id with several vectors
+            same = np.isin(self.place, np.arange(own[at], last[at])) & (self.rows == queries[at]).all(1)
+            own[at] = self.place[same].min(initial=len(self.ids)) if same.any() else -1
+        return np.where(last > np.maximum(own, 0), own, -1) if len(self.ids) else np.full(len(own), -1)
+
     def top(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """Query id, ids and scores of its k best, ties to smaller ids, without its own.
+        """Place of a query, ids and scores of its k best, ties to smaller ids, without its own row.
 
         Depths double. A row met in any list is scored at once. A row not met yet
         can't score above the sum of what the lists show now; a query whose k-th
@@ -51,8 +60,7 @@ class SortedLists:
         small = self.largest * int(np.abs(queries).sum(1).max(initial=0)) < 2**30
         none = -(1 << 31) if small else np.iinfo(np.int64).min + 1
         rows, asked = (self.rows.astype(float), queries.astype(float)) if small else (self.rows, queries)
-        own = np.searchsorted(self.ids, query_ids)
-        own = np.where((own < count) & (self.ids[np.minimum(own, count - 1)] == query_ids), own, -1)
+        own = self._own(query_ids, queries)
         scores = np.zeros((size, 0), np.int64)
         places = np.zeros((size, 0), np.int64)
         best = [None] * size
@@ -71,7 +79,7 @@ class SortedLists:
             for row in np.flatnonzero(ended):
                 kept = np.flatnonzero(scores[row] > none)
                 kept = kept[np.lexsort((places[row, kept], -scores[row, kept]))]
-                best[active[row]] = (int(query_ids[active[row]]), self.ids[places[row, kept]], scores[row, kept])
+                best[active[row]] = (int(active[row]), self.ids[places[row, kept]], scores[row, kept])
             active, scores, places = active[~ended], scores[~ended], places[~ended]
             before, depth = to, 2 * depth
         return best
@@ -90,9 +98,9 @@ def _best(scores: np.ndarray, places: np.ndarray, k: int, small: bool) -> tuple[
 
 
 def quantised(table: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``vec_id`` and ``vector`` with floor(scale * x) for every component x."""
+    """``vec_id`` and ``vector`` with floor(scale * x) for every component x, rows equal in both once."""
     whole = F.transform("vector", lambda x: F.floor(x * scale).cast("long"))
-    return usable(table).select("vec_id", whole.alias("vector"))
+    return usable(table).select("vec_id", whole.alias("vector")).distinct()
 
 
 def _matrix(vectors: pa.ChunkedArray, size: int) -> np.ndarray:
@@ -109,7 +117,7 @@ def search(
     """The k vectors of the largest inner product with each query, all if fewer.
 
     Both have ``vec_id`` and ``vector`` (longs); vectors of other lengths than the
-    query's, and the one of its own id, are no candidates. Returns ``query_id``,
+    query's, and its own row, are no candidates. Returns ``query_id``,
     ``rank``, ``vec_id`` and ``score``. Candidates are dealt into shards and
     queries into groups of bounded size; a task has one of each.
     """
@@ -117,24 +125,30 @@ def search(
     groups = max(1, -(-queries.count() // group_rows))
     wide = F.size("vector").alias("width")
     left = vectors.select("vec_id", "vector", wide, shard_of(shards).alias("shard"), every(groups).alias("part"))
-    right = queries.select("vec_id", "vector", wide, every(shards).alias("shard"), shard_of(groups).alias("part"))
+    right = queries.select(
+        "vec_id", "vector", wide, every(shards).alias("shard"), shard_of(groups).alias("part"), asked()
+    )
 
-    def meet(candidates: pa.Table, asked: pa.Table) -> pa.Table:
-        columns = [], [], []
-        if len(candidates) and len(asked):
+    def meet(candidates: pa.Table, given: pa.Table) -> pa.Table:
+        columns = [], [], [], []
+        if len(candidates) and len(given):
             size = candidates.column("width")[0].as_py()
             lists = SortedLists(candidates.column("vec_id").to_numpy(), _matrix(candidates.column("vector"), size))
-            query_ids, matrix = asked.column("vec_id").to_numpy(), _matrix(asked.column("vector"), size)
+            query_ids, matrix = given.column("vec_id").to_numpy(), _matrix(given.column("vector"), size)
+            marks = given.column("asked").to_numpy()
             for begin in range(0, len(query_ids), _BLOCK):
                 block = slice(begin, begin + _BLOCK)
-                for query_id, ids, scores in lists.top(query_ids[block], matrix[block], k):
-                    for column, values in zip(columns, (np.full(len(ids), query_id), ids, scores)):
+                for at, ids, scores in lists.top(query_ids[block], matrix[block], k):
+                    of = (np.full(len(ids), query_ids[begin + at]), np.full(len(ids), marks[begin + at]))
+                    for column, values in zip(columns, (*of, ids, scores)):
                         column.append(values)
         joined = [pa.array(np.concatenate([np.zeros(0, np.int64), *c]), pa.int64()) for c in columns]
-        return pa.table(joined, ["query_id", "vec_id", "score"])
+        return pa.table(joined, ["query_id", "asked", "vec_id", "score"])
 
     keys = ["width", "shard", "part"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score long")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        meet, "query_id long, asked long, vec_id long, score long"
+    )
     return nearest(found, k)
 
 

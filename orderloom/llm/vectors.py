@@ -13,8 +13,8 @@ def usable(table: DataFrame, non_zero: bool = False) -> DataFrame:
     """``vec_id`` and ``vector`` (doubles) of rows that take part.
 
     Vectors that are null, empty or hold null or non-finite components don't, nor
-    rows without an id; with ``non_zero`` neither do zero vectors. An id counts
-    once, with the smallest of its vectors.
+    rows without an id; with ``non_zero`` neither do zero vectors. Rows equal in id
+    and vector count once; an id with several vectors has a row for each.
     """
     rows = table.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")
@@ -23,7 +23,7 @@ def usable(table: DataFrame, non_zero: bool = False) -> DataFrame:
     rows = rows.where(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     if non_zero:
         rows = rows.where(F.exists("vector", lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.distinct()
 
 
 def shard_of(shards: int) -> Column:
@@ -34,12 +34,18 @@ def shard_count(rows: int, shard_rows: int) -> int:
     return max(LEAST_SHARDS, -(-rows // shard_rows))
 
 
+def asked() -> Column:
+    """Tells the queries of one id apart."""
+    return F.xxhash64("vector").alias("asked")
+
+
 def every(count: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
 
 def nearest(found: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best of all shards' results: query_id, rank, vec_id, score."""
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    """The ``k`` best of all shards' results: query_id, rank, vec_id, score. Queries of
+    one id are told apart by ``asked``."""
+    order = Window.partitionBy("query_id", "asked").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
