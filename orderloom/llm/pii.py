@@ -37,7 +37,8 @@ IDENTIFIER_LENGTH = 6
 OTHER = "id"
 # A pattern counts from so many different seeds and so large a share of what it precedes.
 SUPPORT, CONFIDENCE, ROUNDS = 5, 0.8, 3
-CONTEXT = 64
+# What may stand between the members of a list, which share what stands before it.
+_LISTED = r"^[,;/|&]+$"
 _CHUNK = 512
 
 _SPAN = "array<struct<start:int,end:int,value:string,gap:string>>"
@@ -48,9 +49,18 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _last_words(words: Column) -> Column:
+    """The last two of some words, null if all of them only separate."""
+    size = F.size(words)
+    two = F.array_join(F.slice(words, F.greatest(size - 1, F.lit(1)), F.lit(2)), " ")
+    return F.when(F.exists(words, lambda w: ~w.rlike(_LISTED)), two)
+
+
 def _placed(text: Column, pattern: str, may_hold: Column) -> Column:
-    """All matches as structs of start, end, value and the text before, back to the
-    match before. Matches are summed up in chunks, so that many cost no square."""
+    """All matches as structs of start, end, value and ``gap``, the last two words
+    before it. A match that only separators part from the one before has that one's;
+    after a short one, too short to be found itself, that one is the last word.
+    Matches are summed up in chunks, so that many cost no square."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     steps = F.zip_with(
         found,
@@ -59,7 +69,7 @@ def _placed(text: Column, pattern: str, may_hold: Column) -> Column:
             value.alias("value"),
             F.length(gap).alias("skip"),
             F.length(value).alias("size"),
-            F.substring(gap, -CONTEXT, CONTEXT).alias("gap"),
+            _let(F.filter(F.split(gap, rf"[{_SPACE}]+"), lambda w: w != ""), _last_words).alias("gap"),
         ),
     )
 
@@ -67,10 +77,18 @@ def _placed(text: Column, pattern: str, may_hold: Column) -> Column:
         def add(done, step):
             start = done["at"] + step["skip"]
             end = start + step["size"]
-            span = F.struct(start.alias("start"), end.alias("end"), step["value"].alias("value"), step["gap"].alias("gap"))
-            return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
+            gap = F.coalesce(step["gap"], done["near"])
+            span = F.struct(start.alias("start"), end.alias("end"), step["value"].alias("value"), gap.alias("gap"))
+            last = F.element_at(F.split(F.coalesce(gap, F.lit("")), " "), -1)
+            short = F.trim(F.concat_ws(" ", last, step["value"]))
+            near = F.when(step["size"] < IDENTIFIER_LENGTH, short).otherwise(gap)
+            return F.struct(
+                end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"), near.alias("near")
+            )
 
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+        empty = F.struct(
+            F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"), F.lit(None).cast("string").alias("near")
+        )
         return F.aggregate(chunk, empty, add)
 
     def all_chunks(steps):
@@ -87,14 +105,18 @@ def _placed(text: Column, pattern: str, may_hold: Column) -> Column:
                     (done["at"] + s["start"]).alias("start"),
                     (done["at"] + s["end"]).alias("end"),
                     s["value"].alias("value"),
-                    s["gap"].alias("gap"),
+                    F.coalesce(s["gap"], done["near"]).alias("gap"),
                 ),
             )
             return F.struct(
-                (done["at"] + chunk["at"]).alias("at"), F.concat(done["parts"], F.array(moved)).alias("parts")
+                (done["at"] + chunk["at"]).alias("at"),
+                F.concat(done["parts"], F.array(moved)).alias("parts"),
+                F.coalesce(chunk["near"], done["near"]).alias("near"),
             )
 
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("parts"))
+        empty = F.struct(
+            F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("parts"), F.lit("").alias("near")
+        )
         return F.aggregate(chunks, empty, add, lambda done: F.flatten(done["parts"]))
 
     # A text has one piece more than it has matches; that last one has no value.

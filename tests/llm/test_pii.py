@@ -74,6 +74,28 @@ def test_contexts_find_unseen_identifiers(spark):
         assert [s for s in row.spans if s.kind < len(pii.PATTERNS)] == row.base
 
 
+def test_members_of_a_list_share_what_stands_before_it(spark):
+    texts = [
+        "write to " + " ".join(f"m{i}@mail.example" for i in range(5000)),  # more than are summed up at once
+        "who must write to AB-12-345x CD-34-567y, EF-56-789z | GH-78-901w. never",
+        "write to " + ", ".join(f"id{i:06}" for i in range(700)),
+        "write to 7 AB-12-999x",  # the short word stands between
+        "write to AB-12-345x or CD-34-567y",
+    ]
+    found = {r.doc_id: r for r in pii.find(frame(spark, cased(texts))).collect()}
+    new = {d: [texts[d][s.start : s.end] for s in r.spans if s.kind == len(pii.PATTERNS)] for d, r in found.items()}
+    assert new[1] == ["AB-12-345x", "CD-34-567y", "EF-56-789z", "GH-78-901w"]
+    assert new[2] == [f"id{i:06}" for i in range(700)]
+    assert new[3] == [] and new[4] == ["AB-12-345x"]
+
+
+def test_long_words_before_a_span_stay_whole(spark):
+    key = "k" * 300
+    texts = [f"my {key} u{i}@mail.example" for i in range(12)] + [f"my {key} ab12cd34", f"my {'k' * 200} ab12cd35"]
+    found = {r.doc_id: r for r in pii.find(frame(spark, cased(texts))).collect()}
+    assert [s.start for s in found[12].spans] == [304] and found[13].spans == []
+
+
 def test_redaction(spark):
     docs = frame(spark, cased(taught() + [None, "", "x a@b.cd 4111111111111111@b.cd y"]))
     clean = pii.redact(docs)
