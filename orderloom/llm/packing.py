@@ -22,7 +22,8 @@ END = 2
 # Tokens packed together, tokens of a step group.
 BATCH_TOKENS = 2 << 20
 STEP_TOKENS = 64 << 10
-_CACHED_WORDS = 400_000
+# Words, and the runs of letters in them, whose ids are dearer to find.
+_CACHED_WORDS, _CACHED_RUNS = 300_000, 1_000_000
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -53,7 +54,7 @@ class WordTokens(dict):
         run = run.lower()
         ids = self.letters.get(run)
         if ids is None:
-            if len(self.letters) >= _CACHED_WORDS:
+            if len(self.letters) >= _CACHED_RUNS:
                 self.letters.clear()
             mapped = run if run.isascii() else "".join(_BYTE_LETTERS[b] for b in run.encode())
             ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
