@@ -106,7 +106,7 @@ def parse_pages(table: DataFrame, body: str, kind: PageKind) -> DataFrame:
     ``inline`` keeps filters on page fields above the parser. Pushed below it
     they would parse every text a second time.
     """
-    page = F.from_json(F.col(body), kind.schema, JSON_OPTIONS)
+    page = F.from_json(F.col(body), _dated(kind), JSON_OPTIONS)
     return table.select(F.inline(F.array(page)))
 
 
