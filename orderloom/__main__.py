@@ -113,7 +113,7 @@ def run_load(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.checkpoint:
         loads.load_landed(spark, args.pages, kind, args.checkpoint, load, choose=choose)
     else:
-        pages = choose(P.read_pages(spark, args.pages, kind))
+        pages = choose(P.read_pages(spark, args.pages, kind, by_day=True))
         load(spark, pages, getattr(args, "load", None) or loads.run_name(pages))
 
 

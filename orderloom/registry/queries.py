@@ -791,7 +791,7 @@ def load_orders_lookback(spark, folder):
     # A folder per year keeps the test small; it is named by its last day.
     landed = pages.withColumn(P.DAY_FOLDER, whole).hint("rebalance", P.DAY_FOLDER)
     landed.write.partitionBy(P.DAY_FOLDER).text(f"{base}/pages")
-    found = P.chosen_pages(P.read_pages(spark, f"{base}/pages", P.ORDER), LOOKBACK_FROM, LOOKBACK_DAYS, [D.SID])
+    found = P.chosen_pages(P.read_pages(spark, f"{base}/pages", P.ORDER, by_day=True), LOOKBACK_FROM, LOOKBACK_DAYS, [D.SID])
     loads.load_orders(spark, found, f"{base}/table", f"{base}/rejects")
     return plain(spark.read.parquet(f"{base}/table").drop(*flatten.ORIGIN, S.TRADE_MONTH))
 

@@ -55,8 +55,8 @@ JSON_OPTIONS = {
 DAY_FOLDER = "day"
 
 
-def _dated(kind: PageKind) -> StructType:
-    return StructType(kind.schema.fields).add(DAY_FOLDER, "string")
+def _schema(kind: PageKind, by_day: bool) -> StructType:
+    return StructType(kind.schema.fields).add(DAY_FOLDER, "string") if by_day else kind.schema
 
 
 def _with_arrival(pages: DataFrame) -> DataFrame:
@@ -67,16 +67,17 @@ def _with_arrival(pages: DataFrame) -> DataFrame:
     )
 
 
-def read_pages(spark: SparkSession, path: str, kind: PageKind) -> DataFrame:
-    """All landed pages below a folder, with the file they came in and its time."""
-    return _with_arrival(spark.read.schema(_dated(kind)).options(**JSON_OPTIONS).json(path))
+def read_pages(spark: SparkSession, path: str, kind: PageKind, by_day: bool = False) -> DataFrame:
+    """All landed pages below a folder, with the file they came in and its time;
+    ``by_day`` adds the day of the folder they landed in, NULL without one."""
+    return _with_arrival(spark.read.schema(_schema(kind, by_day)).options(**JSON_OPTIONS).json(path))
 
 
 def stream_pages(
-    spark: SparkSession, path: str, kind: PageKind, files_per_batch: int = 1000
+    spark: SparkSession, path: str, kind: PageKind, files_per_batch: int = 1000, by_day: bool = False
 ) -> DataFrame:
-    """Pages as they land, with the file they came in and its time."""
-    stream = spark.readStream.schema(_dated(kind)).options(**JSON_OPTIONS)
+    """Pages as they land, with the columns of ``read_pages``."""
+    stream = spark.readStream.schema(_schema(kind, by_day)).options(**JSON_OPTIONS)
     return _with_arrival(stream.option("maxFilesPerTrigger", files_per_batch).json(path))
 
 
@@ -88,14 +89,15 @@ def chosen_pages(
 ) -> DataFrame:
     """Pages whose request window meets the last days before ``as_of``, of some tenants.
 
-    Windows that end before that time are known by the folder they landed in: their
-    files aren't opened. Pages landed in no such folder are parsed and asked.
+    Windows that end before that time are known by the folder they landed in, where
+    pages are read ``by_day``: their files aren't opened. Others are parsed and asked.
     """
     if as_of is not None:
         low = as_of - dt.timedelta(days=days)
         at = lambda time: F.lit(str(time)).cast("timestamp_ntz")
-        folder = F.col(DAY_FOLDER)
-        pages = pages.where(folder.isNull() | (folder >= low.date().isoformat()))
+        if DAY_FOLDER in pages.columns:
+            folder = F.col(DAY_FOLDER)
+            pages = pages.where(folder.isNull() | (folder >= low.date().isoformat()))
         pages = pages.where((F.col("end_time") >= at(low)) & (F.col("start_time") <= at(as_of)))
     return pages if tenants is None else pages.where(F.col("sid").isin(list(tenants)))
 
@@ -106,7 +108,7 @@ def parse_pages(table: DataFrame, body: str, kind: PageKind) -> DataFrame:
     ``inline`` keeps filters on page fields above the parser. Pushed below it
     they would parse every text a second time.
     """
-    page = F.from_json(F.col(body), _dated(kind), JSON_OPTIONS)
+    page = F.from_json(F.col(body), kind.schema, JSON_OPTIONS)
     return table.select(F.inline(F.array(page)))
 
 

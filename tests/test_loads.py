@@ -296,7 +296,7 @@ def windows(folder, *days):
 
 def test_look_back_opens_files_of_its_days_only(spark, tmp_path):
     windows(tmp_path / "in", *range(2, 28))
-    found = P.chosen_pages(P.read_pages(spark, str(tmp_path / "in"), P.ORDER), dt.datetime(2024, 1, 20, 18), 2)
+    found = P.chosen_pages(P.read_pages(spark, str(tmp_path / "in"), P.ORDER, True), dt.datetime(2024, 1, 20, 18), 2)
     days = sorted(r.end_time.day for r in found.collect())
     assert days == [19, 20, 21]  # the 18th's window ends before the two days begin
     scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
@@ -315,10 +315,11 @@ def test_look_back_opens_files_of_its_days_only(spark, tmp_path):
 
 def test_pages_without_day_folders_are_asked(spark, tmp_path):
     folder = land(tmp_path / "p", page(P.ORDER, [order(1, 10, 1)]))
-    pages = P.read_pages(spark, folder, P.ORDER)
-    assert P.chosen_pages(pages, dt.datetime(2024, 1, 4)).count() == 1
-    assert P.chosen_pages(pages, dt.datetime(2024, 1, 9)).count() == 0
-    assert P.chosen_pages(pages, tenants=["s2"]).count() == 0
+    for by_day in (False, True):
+        pages = P.read_pages(spark, folder, P.ORDER, by_day)
+        assert P.chosen_pages(pages, dt.datetime(2024, 1, 4)).count() == 1
+        assert P.chosen_pages(pages, dt.datetime(2024, 1, 9)).count() == 0
+        assert P.chosen_pages(pages, tenants=["s2"]).count() == 0
 
 
 def test_changes_are_kept_with_their_load(spark, tmp_path, monkeypatch):
