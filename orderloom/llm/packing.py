@@ -23,7 +23,7 @@ END = 2
 BATCH_TOKENS = 2 << 20
 STEP_TOKENS = 64 << 10
 # Words, and the runs of letters in them, whose ids are dearer to find.
-_CACHED_WORDS, _CACHED_RUNS = 300_000, 1_000_000
+_CACHED_WORDS, _CACHED_RUNS = 200_000, 600_000
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
