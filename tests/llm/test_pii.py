@@ -1,6 +1,8 @@
+import hashlib
 import re
 
 from orderloom.llm import pii
+from orderloom.llm.queries import op7_pii
 from tests.llm.fixtures import documents, frame
 
 PLAIN = {
@@ -57,6 +59,19 @@ def test_base_by_definition(spark):
         assert [(s.start, s.kind, s.end) for s in row.base] == brute(texts[row.doc_id]), texts[row.doc_id]
 
 
+def test_query_by_definition(spark, tmp_path):
+    texts = CASES + ["mail a@b.cd or +1 (375) 555-4393, 1.2.3.4, 4111111111111111, e@f.gh", None, ""]
+    frame(spark, cased(texts)).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op7_pii(spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        spans = brute(texts[row.doc_id])
+        counts = [sum(kind == number for _, kind, _ in spans) for number in range(len(PLAIN))]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts, texts[row.doc_id]
+        listed = ",".join(f"{list(PLAIN)[kind]}:{start}:{end}" for start, kind, end in spans)
+        assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
 def taught():
     """Customers' numbers of an own form, behind words that mails follow elsewhere."""
     texts = [f"please Write to u{i}@mail.example now" for i in range(12)]
