@@ -394,9 +394,14 @@ def purchase_pages(spark: SparkSession, folder: str, again: bool = False) -> Dat
 
 
 def order_pages(
-    spark: SparkSession, folder: str, only: str = "true", changes: dict[str, str] | None = None
+    spark: SparkSession,
+    folder: str,
+    only: str = "true",
+    changes: dict[str, str] | None = None,
+    files: int | None = None,
 ) -> DataFrame:
-    """A page per order; a day declares all its orders, urgent ones fail to land."""
+    """A page per order; a day declares all its orders, urgent ones fail to land.
+    ``files`` deals them into so many parts, before their texts are built."""
     orders = table(spark, folder, "orders")
     declared = orders.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("total"))
     rows = _with_stamps(orders.join(declared, "o_orderdate"), "o_orderdate").withColumns(
@@ -407,7 +412,10 @@ def order_pages(
         }
     )
     docs = F.array(_struct(ORDER_DOCUMENT | (changes or {})))
-    return rows.where(only).select(
+    chosen = rows.where(only)
+    if files is not None:
+        chosen = chosen.repartition(files, "o_orderkey")
+    return chosen.select(
         _page("trades", F.col("errorcode"), F.col("total"), docs).alias("body")
     )
 
@@ -421,7 +429,27 @@ def parsed_pages(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     return P.parse_pages(build(spark, folder), "body", layout)
 
 
+# Compressed files can't be read in parts, so none grows beyond so many pages.
+PAGES_PER_FILE = 250_000
+LANDING_OPTIONS = {
+    "compression": "gzip",
+    "zlib.compress.level": "BEST_SPEED",
+    "maxRecordsPerFile": str(PAGES_PER_FILE),
+}
+
+
+def landing_files(spark: SparkSession, folder: str) -> int:
+    """An even number of files for a landing of all orders, so that none is too large."""
+    return 2 * max(1, -(-table(spark, folder, "orders").count() // (2 * PAGES_PER_FILE)))
+
+
+def land(pages: DataFrame, path: str, *folders: str) -> None:
+    """Append pages as compressed JSON lines, as an extraction job would land them."""
+    writer = pages.write.mode("append").partitionBy(*folders)
+    writer.options(**LANDING_OPTIONS).text(path)
+
+
 def land_pages(spark: SparkSession, folder: str, kind: str, path: str) -> str:
-    """Write the pages as JSON lines, as an extraction job would land them."""
-    PAGES[kind][0](spark, folder).write.text(path)
+    """Write the pages of a kind."""
+    land(PAGES[kind][0](spark, folder), path)
     return path

@@ -1,6 +1,7 @@
 """Landed pages on literal files, and the loads built on them."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,6 +10,9 @@ from orderloom.operators import flatten
 from orderloom.plans import loads
 from orderloom.sources import pages as P
 from orderloom.sources import tables
+from orderloom.sources import testdata as D
+
+TABLES = "/root/testdata/sf0.001"
 
 
 def page(kind, docs, errorcode=0, total=None, page_no=0, **response):
@@ -200,3 +204,26 @@ def test_text_pages_parse_like_files(spark, tmp_path):
     assert sorted(map(str, parsed.collect())) == sorted(
         map(str, P.read_pages(spark, path, P.SALES).drop("landed_at", "source").collect())
     )
+
+
+def landed_files(path):
+    return sorted(p.name for p in Path(path).rglob("part-*"))
+
+
+def test_landed_pages_are_compressed_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(D.LANDING_OPTIONS, "maxRecordsPerFile", "1000")
+    pages = D.sales_pages(spark, TABLES).cache()
+    D.land_pages(spark, TABLES, "sales", f"{tmp_path}/sales")
+    names = landed_files(f"{tmp_path}/sales")
+    assert len(names) >= pages.count() / 1000 and all(n.endswith(".gz") for n in names)
+    assert spark.read.text(f"{tmp_path}/sales").exceptAll(pages.toDF("value")).isEmpty()
+    assert spark.read.text(f"{tmp_path}/sales").count() == pages.count()
+
+
+def test_landings_of_orders_come_in_more_files_as_they_grow(spark, tmp_path, monkeypatch):
+    assert D.landing_files(spark, TABLES) == 2
+    monkeypatch.setattr(D, "PAGES_PER_FILE", 200)
+    files = D.landing_files(spark, TABLES)
+    assert files == 2 * -(-spark.read.parquet(f"{TABLES}/orders.parquet").count() // 400) > 2
+    D.land(D.order_pages(spark, TABLES, files=files), f"{tmp_path}/orders")
+    assert len(landed_files(f"{tmp_path}/orders")) == files
