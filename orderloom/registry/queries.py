@@ -765,17 +765,18 @@ def load_orders_pages(spark, folder):
     base = scratch_path(spark, "load-orders")
     newer = {"trade_status": "'newer'", "modified": _day_later(1)}
     older = {"trade_status": "'older'", "modified": _day_later(-1)}
+    files = D.landing_files(spark, folder)
     for pages in (
-        D.order_pages(spark, folder, "o_orderstatus = 'F'", newer),
-        D.order_pages(spark, folder),
-        D.order_pages(spark, folder, "o_orderstatus = 'O'", older),
+        D.order_pages(spark, folder, "o_orderstatus = 'F'", newer, files),
+        D.order_pages(spark, folder, files=files),
+        D.order_pages(spark, folder, "o_orderstatus = 'O'", older, files),
     ):
-        pages.repartition(2).write.mode("append").text(f"{base}/pages")
+        D.land(pages, f"{base}/pages")
 
     def load(session, pages, name):
         loads.load_orders(session, pages, f"{base}/table", f"{base}/rejects/load={name}")
 
-    loads.load_landed(spark, f"{base}/pages", P.ORDER, f"{base}/checkpoint", load, files_per_batch=2)
+    loads.load_landed(spark, f"{base}/pages", P.ORDER, f"{base}/checkpoint", load, files_per_batch=files)
     return plain(spark.read.parquet(f"{base}/table").drop(*flatten.ORIGIN, S.TRADE_MONTH))
 
 
@@ -790,7 +791,7 @@ def load_orders_lookback(spark, folder):
     whole = F.concat(F.col(P.DAY_FOLDER), F.lit("-12-31"))
     # A folder per year keeps the test small; it is named by its last day.
     landed = pages.withColumn(P.DAY_FOLDER, whole).hint("rebalance", P.DAY_FOLDER)
-    landed.write.partitionBy(P.DAY_FOLDER).text(f"{base}/pages")
+    D.land(landed, f"{base}/pages", P.DAY_FOLDER)
     found = P.chosen_pages(P.read_pages(spark, f"{base}/pages", P.ORDER, by_day=True), LOOKBACK_FROM, LOOKBACK_DAYS, [D.SID])
     loads.load_orders(spark, found, f"{base}/table", f"{base}/rejects")
     return plain(spark.read.parquet(f"{base}/table").drop(*flatten.ORIGIN, S.TRADE_MONTH))
