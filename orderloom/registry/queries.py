@@ -820,9 +820,10 @@ def load_orders_changes(spark, folder):
 def stream_completeness(spark, folder):
     """Pages of orders land in three steps, and marks are kept; older ones land again."""
     base = scratch_path(spark, "stream-completeness")
+    files = D.landing_files(spark, folder)
     for only in ("o_orderstatus = 'F'", "o_orderstatus <> 'F'", "o_orderkey % 5 = 0"):
-        D.order_pages(spark, folder, only).repartition(2).write.mode("append").text(f"{base}/pages")
-    stream = P.stream_pages(spark, f"{base}/pages", P.ORDER, files_per_batch=1)
+        D.land(D.order_pages(spark, folder, only, files=files), f"{base}/pages")
+    stream = P.stream_pages(spark, f"{base}/pages", P.ORDER, files_per_batch=files // 2)
     jobs.completeness_stream(stream, P.ORDER, f"{base}/marks", f"{base}/checkpoint", compact_every=2)
     return plain(jobs.known_completeness(spark, f"{base}/marks", P.ORDER))
 
