@@ -171,31 +171,41 @@ def blocked_pivot(
     count_name: str = "count_{place}",
     total: str | None = None,
     width: int = V.LONG_WINDOW_DAYS + 1,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """The daily pivot of a window of any length, cut into blocks of days.
 
-    ``long`` has the daily totals and ``days`` their numbers. Two columns per place
-    in a block, and the blocks below each other: the plan is as wide as one block,
-    and all of them come out of one shuffle. A key shows in the blocks it has rows
-    in, with 0 on the other days there; places beyond the last day are NULL.
-    ``total`` adds a row per block, as in ``daily_pivot``.
+    ``long`` has the daily totals, one row per key and day, and ``days`` their numbers.
+    Two columns per place in a block, and the blocks below each other: the plan is as
+    wide as one block, and all of them come out of one shuffle. A key shows in the
+    blocks it has rows in, with 0 on the other days there; places beyond the last day
+    are NULL. ``total`` adds a row per block, as in ``daily_pivot``.
+
+    The days of a key are gathered as the few entries they are and spread over the
+    places last, as doubles, after the rows are put in ``order``: sums by place would
+    hold, shuffle and sort all cells of a row, most of them empty.
     """
     if total is not None:
         long = _with_daily_total(long, keys, total)
         keys = ["is_total", *keys]
     placed = long.join(days, "day")
-    wide = (
-        placed.groupBy("block", "held", *keys)
-        .pivot("place", list(range(1, width + 1)))
-        .agg(F.sum("amount").alias("amount"), F.sum("count").alias("count"))
+    sums = F.struct(*(F.col(c).cast("double").alias(c) for c in ("amount", "count")))
+    entry = F.struct("place", sums)
+    packed = (
+        placed.repartition("block", *keys)
+        .groupBy("block", "held", *keys)
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("_cells"))
     )
-    zero = F.lit(0).cast("decimal(18,2)")
+    if order:
+        packed = packed.orderBy(*order)
+    zero = F.lit(0).cast("double")
     cells = []
     for place in range(1, width + 1):
+        cell = F.try_element_at("_cells", F.lit(place))
         for name, shown in (("amount", amount_name), ("count", count_name)):
-            cell = F.when(F.col("held") >= place, F.coalesce(F.col(f"{place}_{name}"), zero))
-            cells.append(cell.alias(shown.format(place=place)))
-    return wide.select("block", *keys, *cells)
+            shown_cell = F.when(F.col("held") >= place, F.coalesce(cell[name], zero))
+            cells.append(shown_cell.alias(shown.format(place=place)))
+    return packed.select("block", *keys, *cells)
 
 
 def _with_daily_total(long: DataFrame, keys: Sequence[str], total: str) -> DataFrame:

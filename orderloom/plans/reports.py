@@ -308,10 +308,10 @@ def purchase_blocks(
 ) -> DataFrame:
     """Amount and count per item and day for windows too long for a column a day:
     blocks of days below each other, total on top of each."""
-    wide = A.blocked_pivot(
-        purchase_days(purchases, p), PURCHASE_KEYS, block_days(purchases, p), amount_name, count_name, V.TOTAL_LABEL
-    )
-    ordered = wide.orderBy("block", F.desc("is_total"), *PURCHASE_KEYS).drop("is_total")
+    ordered = A.blocked_pivot(
+        purchase_days(purchases, p), PURCHASE_KEYS, block_days(purchases, p), amount_name, count_name, V.TOTAL_LABEL,
+        order=["block", F.desc("is_total"), *PURCHASE_KEYS],
+    ).drop("is_total")
     return as_doubles(ordered, ordered.columns[3:])
 
 

@@ -235,6 +235,19 @@ def test_blocks_give_the_long_form(spark):
     assert A.blocked_pivot(long.limit(0), ["no"], numbered, width=3).count() == 0
 
 
+def test_blocks_are_spread_over_places_last(spark):
+    """Few entries per key are gathered and sorted, and no sums by place."""
+    long = spark.createDataFrame(
+        [("a", dt.date(2024, 1, 1), Decimal(1), None), ("b", dt.date(2024, 1, 3), None, Decimal(2))],
+        "no STRING, day DATE, amount DECIMAL(28,2), count DECIMAL(28,2)",
+    )
+    numbered = A.numbered_days(long.select("day"), 2)
+    wide = A.blocked_pivot(long, ["no"], numbered, width=2, order=["block", F.desc("no")])
+    assert [tuple(r) for r in wide.collect()] == [(1, "b", 0, 0, 0, 2), (1, "a", 1, 0, 0, 0)]
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "pivotfirst" not in plan and plan.index("amount_2") < plan.index("Sort [")
+
+
 def test_pivot_without_days(spark, receipts):
     assert A.daily_pivot(receipts, ["no"], "ts", "cost", "n", []).columns == ["no"]
 
