@@ -3,6 +3,7 @@
 import datetime as dt
 import io
 import random
+import re
 import shutil
 from contextlib import redirect_stdout
 from decimal import Decimal
@@ -248,6 +249,20 @@ def test_blocks_are_spread_over_places_last(spark):
     assert "pivotfirst" not in plan and plan.index("amount_2") < plan.index("Sort [")
 
 
+def test_a_block_of_days_is_compiled(spark):
+    """Java leaves methods of more than 8000 bytes to its interpreter."""
+    long = spark.createDataFrame([], "no STRING, day DATE, amount DECIMAL(28,2), count DECIMAL(28,2)")
+    days = spark.createDataFrame([], "day DATE, block INT, place INT, held BIGINT")
+    wide = A.blocked_pivot(long, ["no"], days)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        shown = wide._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 0 < max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)) <= 8000
+
+
 def test_pivot_without_days(spark, receipts):
     assert A.daily_pivot(receipts, ["no"], "ts", "cost", "n", []).columns == ["no"]
 
