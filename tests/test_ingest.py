@@ -227,3 +227,27 @@ def test_landings_of_orders_come_in_more_files_as_they_grow(spark, tmp_path, mon
     assert files == 2 * -(-spark.read.parquet(f"{TABLES}/orders.parquet").count() // 400) > 2
     D.land(D.order_pages(spark, TABLES, files=files), f"{tmp_path}/orders")
     assert len(landed_files(f"{tmp_path}/orders")) == files
+
+
+@pytest.mark.parametrize("kind", ["sales", "purchase"])
+def test_pages_are_built_in_generated_code(spark, kind):
+    plan = D.PAGES[kind][0](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if "Project [" in line]
+    assert steps and all("*(" in line.split("Project [")[0] for line in steps)
+
+
+def test_pages_keep_odd_texts_and_leave_out_nulls(spark, tmp_path):
+    lines = spark.read.parquet(f"{TABLES}/lineitem.parquet").limit(1).drop("l_returnflag", "l_tax", "l_discount")
+    odd = spark.createDataFrame(
+        [('a"b\\', 0.06, 0.0), ("\t]", 0.06, 0.01), (None, None, None)],
+        "l_returnflag STRING, l_tax DOUBLE, l_discount DOUBLE",
+    )
+    lines.crossJoin(odd).write.parquet(f"{tmp_path}/lineitem.parquet")
+    pages = [json.loads(row.body) for row in D.sales_pages(spark, str(tmp_path)).collect()]
+    found = {}
+    for page in pages:
+        docs = page["response"]["stockout_list"]
+        assert page["response"]["total_count"] == len(docs)
+        found[docs[0].get("cs_remark")] = [len(doc["details_list"]) for doc in docs]
+        assert ("errorcode" in page["response"]) == ("tax_rate" in docs[0]) == ("cs_remark" in docs[0])
+    assert found == {'a"b\\': [1, 0], "\t]": [1], None: [1]}
