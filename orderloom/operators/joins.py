@@ -48,7 +48,10 @@ def span_of(rows: DataFrame, column: str) -> Span:
     """Span of a written table's column: however many rows there are, one comes back,
     and the values if there are no more than ``FEW_VALUES``."""
     value = F.col(column)
-    row = rows.agg(F.min(value), F.max(value), F.coalesce(F.bool_or(value.isNull()), F.lit(False))).first()
+    nulls = F.coalesce(F.bool_or(value.isNull()), F.lit(False))
+    *row, about = rows.agg(F.min(value), F.max(value), nulls, F.approx_count_distinct(value)).first()
+    if about > 2 * FEW_VALUES:  # too many by far, so they aren't dealt out to be told apart
+        return Span(*row, None)
     different = rows.where(value.isNotNull()).select(column).distinct().limit(FEW_VALUES + 1).collect()
     few = tuple(sorted(r[0] for r in different)) if len(different) <= FEW_VALUES else None
     return Span(*row, few)

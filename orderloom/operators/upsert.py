@@ -175,7 +175,8 @@ def upsert_table(
     sent = latest_per_key(batch, keys, total_order(batch, newest_first))
     sent.write.mode("overwrite").parquet(stage["batch"])
     latest = spark.read.parquet(stage["batch"])
-    if latest.isEmpty():
+    sent_rows = latest.count()
+    if not sent_rows:
         remove(spark, stage["batch"])
         return
     target = stored_table(spark, path, latest.schema)
@@ -191,14 +192,12 @@ def upsert_table(
         raise ValueError(f"{partition} cannot name a folder: {odd[:3]}")
     # A list of names reaches the scan as a partition filter.
     old = target.where(F.col(partition).isin(names)).select(*latest.columns)
-    rivals = known_rows(old, latest, keys).unionByName(latest)
-    winners = latest_per_key(rivals, keys, total_order(latest, newest_first))
-    merged = unknown_rows(old, latest, keys).unionByName(winners)
+    merged = contest(old, latest, keys, newest_first, origin, few=sent_rows <= FEW_ROWS)
     merged.write.mode("overwrite").parquet(stage["merged"])
     if load is not None:
-        kept = spark.read.parquet(stage["merged"])
-        changes = row_changes(known_rows(old, latest, keys), known_rows(kept, latest, keys), keys, origin)
-        changes.withColumn("load", F.lit(load)).write.mode("overwrite").parquet(stage["changes"])
+        changes = spark.read.parquet(stage["merged"]).where(F.col(ACTION).isNotNull())
+        named = changes.select(*keys, F.col(ACTION).alias("action"), F.lit(load).alias("load"))
+        named.write.mode("overwrite").parquet(stage["changes"])
     else:
         remove(spark, stage["changes"])
     spark.createDataFrame([(n,) for n in names], f"`{partition}` STRING").write.mode("overwrite").parquet(
@@ -233,7 +232,7 @@ def finish_replacing(spark: SparkSession, path: str, partition: str, keys: Seque
     path = path.rstrip("/")
     if _noted(spark, staging_path(path, "state")) != REPLACING:
         return
-    staged = spark.read.parquet(staging_path(path, "merged"))
+    staged = spark.read.parquet(staging_path(path, "merged")).drop(ACTION)
     touched = spark.read.parquet(staging_path(path, "touched"))
     write_partitions(staged, path, partition, keys)
     # Partitions all rows have moved out of.
@@ -248,20 +247,47 @@ def finish_replacing(spark: SparkSession, path: str, partition: str, keys: Seque
         remove(spark, staging_path(path, name))
 
 
-def row_changes(before: DataFrame, after: DataFrame, keys: Sequence[str], origin: Sequence[str] = ()) -> DataFrame:
-    """What became of each key: inserted, updated or unchanged, by value.
+ACTION = "_action"
+# A batch of so many rows has its stored rivals looked up, so that others aren't shuffled.
+FEW_ROWS = 100_000
 
-    Both sides are put below each other and grouped by key, one row each.
+
+def contest(
+    old: DataFrame,
+    latest: DataFrame,
+    keys: Sequence[str],
+    newest_first: Sequence[Column],
+    origin: Sequence[str] = (),
+    few: bool = False,
+) -> DataFrame:
+    """Stored rows with a batch of one row per key written over them, and what became of
+    each key of the batch: inserted, updated or unchanged, by value. Others have no action.
+
+    Both sides are put below each other and dealt by key once, which tells the winner as
+    well as the action. With ``few`` rows in the batch only their rivals are dealt.
     """
-    values = F.xxhash64(*sorted(set(after.columns) - set(origin)))
-    none = F.lit(None).cast("long")
-    stored = before.select(*keys, values.alias("old"), none.alias("new"))
-    kept = after.select(*keys, none.alias("old"), values.alias("new"))
-    seen = stored.unionByName(kept).groupBy(*keys).agg(F.max("old").alias("old"), F.max("new").alias("new"))
+    values = F.xxhash64(*sorted(set(latest.columns) - set(origin)))
+    rivals = known_rows(old, latest, keys) if few else old
+    both = rivals.withColumn("_sent", F.lit(False)).unionByName(latest.withColumn("_sent", F.lit(True)))
+    order = Window.partitionBy(*keys).orderBy(*total_order(latest, newest_first))
+    of_key = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = both.withColumn("_values", values).select(
+        "*",
+        F.row_number().over(order).alias("_rank"),
+        F.max("_sent").over(of_key).alias("_meets"),
+        F.max(F.when(~F.col("_sent"), F.col("_values"))).over(of_key).alias("_old"),
+    )
     action = (
-        F.when(F.col("old").isNull(), "inserted").when(F.col("old") == F.col("new"), "unchanged").otherwise("updated")
+        F.when(~F.col("_meets"), None)
+        .when(F.col("_old").isNull(), "inserted")
+        .when(F.col("_old") == F.col("_values"), "unchanged")
+        .otherwise("updated")
     )
-    return seen.select(*keys, action.alias("action"))
+    won = seen.where("NOT _meets OR _rank = 1").select(*latest.columns, action.alias(ACTION))
+    if not few:
+        return won
+    none = F.lit(None).cast("string").alias(ACTION)
+    return unknown_rows(old, latest, keys).select(*latest.columns, none).unionByName(won)
 
 
 def table_changes(spark: SparkSession, path: str) -> DataFrame | None:

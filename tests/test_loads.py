@@ -322,6 +322,25 @@ def test_pages_without_day_folders_are_asked(spark, tmp_path):
         assert P.chosen_pages(pages, tenants=["s2"]).count() == 0
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_a_batch_meets_the_table_once(spark, few):
+    columns = "k STRING, v INT, month STRING, place INT"
+    old = spark.createDataFrame(
+        [("a", 1, "m1", 0), ("b", 2, "m1", 1), ("c", 3, "m2", 2), ("e", 2, "m1", 0), ("e", 2, "m1", 0),
+         ("f", 1, "m1", 0), ("f", 1, "m1", 0), (None, 4, "m1", 3)], columns)
+    latest = spark.createDataFrame(
+        [("a", 5, "m1", 0), ("b", 2, "m1", 9), ("c", 2, "m3", 0), ("d", 1, "m3", 0), ("e", 0, "m1", 0),
+         (None, 5, "m1", 0)], columns)
+    merged = U.contest(old, latest, ["k"], [F.desc("v"), F.asc("place")], ["place"], few)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # A batch that is not small deals the stored rows once, for winners and actions.
+    assert few or plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted([
+        ("a", 5, "m1", 0, "updated"), ("b", 2, "m1", 1, "unchanged"), ("c", 3, "m2", 2, "unchanged"),
+        ("d", 1, "m3", 0, "inserted"), ("e", 2, "m1", 0, "unchanged"), ("f", 1, "m1", 0, None),
+        ("f", 1, "m1", 0, None), (None, 5, "m1", 0, "updated")], key=str)
+
+
 def test_changes_are_kept_with_their_load(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
 
@@ -354,6 +373,11 @@ def test_changes_are_kept_with_their_load(spark, tmp_path, monkeypatch):
     assert tables.read_table(spark, path).where("k = 'd'").select("v", "month").collect() == [(7, "m1")]
 
 
+def test_changes_by_a_batch_that_is_not_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(U, "FEW_ROWS", 0)
+    test_changes_are_kept_with_their_load(spark, tmp_path, monkeypatch)
+
+
 def test_state_of_landed_windows(spark, tmp_path):
     """After every landing the marks kept give what all pages give."""
     docs = [{"trade_id": i} for i in range(110)]
