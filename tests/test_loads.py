@@ -14,8 +14,10 @@ from orderloom import schemas as S
 from orderloom.__main__ import main
 from orderloom.operators import upsert as U
 from orderloom.plans import loads
+from orderloom.registry.queries import QUERIES
 from orderloom.sources import pages as P
 from orderloom.sources import tables
+from orderloom.sources import testdata as D
 from orderloom.streaming import jobs
 from tests.test_ingest import land, page, receipt
 from tests.test_reports import scanned_rows
@@ -406,3 +408,49 @@ def test_state_of_landed_windows(spark, tmp_path):
     out = str(tmp_path / "out")
     command = ["check-pages", "--kind", "orders", "--pages", str(source), "--out", out]
     assert main(command) == main([*command, "--state", str(tmp_path / "state")]) == 0
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (blocks.apply(i).getName() for i in range(blocks.size())) if name.startswith("shuffle_")}
+
+
+def test_loaded_pages_and_shuffles_go(spark, tmp_path):
+    table, landed, before = str(tmp_path / "t"), tmp_path / "in", shuffle_files(spark)
+    landed.mkdir()
+    for number in (1, 2, 3):
+        sent = [[receipt(number, lines=((number, 0),)), receipt(1, lines=((9, 0),))]]
+        if number == 2:  # a second batch of the same run
+            sent.append([receipt(7, lines=((7, 0),))])
+        for at, docs in enumerate(sent):
+            (landed / f"p{number}-{at}.json").write_text(json.dumps(page(P.PURCHASE, docs)) + "\n")
+        loads.load_landed(
+            spark, str(landed), P.PURCHASE, str(tmp_path / "cp"),
+            lambda s, p, name: loads.load_purchases(s, p, table, name, None, str(tmp_path / f"r/load={name}")),
+            files_per_batch=1, clean=True,
+        )
+        assert len(list(landed.glob("*.json"))) == 1  # those of the last batch
+    stored = tables.read_table(spark, table).select("stockin_id", "detail_rec_id").collect()
+    assert sorted(map(tuple, stored)) == [("1", "1"), ("2", "2"), ("3", "3"), ("7", "7")]
+    assert shuffle_files(spark) <= before
+
+
+def test_receipts_land_in_steps(spark, monkeypatch):
+    """As many rows as in one step, and only the pages of one step or two at a time."""
+    folder, seen = "/root/testdata/sf0.001", []
+    pages = D.table(spark, folder, "lineitem").count()
+    whole = D.PAGES_PER_LANDING
+    run = loads.load_landed
+
+    def counted(session, path, *args, **more):
+        seen.append(session.read.text(path).count())
+        run(session, path, *args, **more)
+
+    monkeypatch.setattr(loads, "load_landed", counted)
+    frames = []
+    for most in (whole, pages // 2 + 1):
+        monkeypatch.setattr(D, "PAGES_PER_LANDING", most)
+        frames.append(QUERIES["load_purchases_pages"](spark, folder))
+    assert not frames[0].exceptAll(frames[1]).count() and frames[0].count() == frames[1].count()
+    assert len(seen) == 2 + 4 and max(seen[2:]) < 1.5 * pages
+    assert sum(D.table(spark, folder, "lineitem").where(part).count() for part in D.landing_steps(spark, folder)) == pages
