@@ -1,8 +1,9 @@
 """Joins of the reports.
 
-No side carries a broadcast hint. Spark broadcasts one when its measured size
-is below the threshold and shuffles otherwise, and AQE splits shuffle
-partitions that a hot key makes too large.
+No side carries a broadcast hint. Spark broadcasts one when its size is below the
+threshold and shuffles otherwise, and AQE splits shuffle partitions that a hot key
+makes too large. What is scanned counts with the size of its files, so the reports ask
+for a shuffle where a side has a row per item (``never_sent``).
 """
 
 from __future__ import annotations
@@ -57,6 +58,15 @@ def span_of(rows: DataFrame, column: str) -> Span:
     return Span(*row, few)
 
 
+def never_sent(side: DataFrame) -> DataFrame:
+    """A side of a join that is shuffled at any size, never gathered by the driver.
+
+    Spark takes the size of files for that of a table. Items compress well: a hundred
+    times as many bytes, in each of several joins at once, then go to the driver.
+    """
+    return side.hint("merge")
+
+
 def with_item_cost(lines: DataFrame, cost: DataFrame, item: str = "spec_no") -> DataFrame:
     """Lines with the cost of their item; lines of unknown items stay."""
     if item != "spec_no":

@@ -61,7 +61,7 @@ def cost_summary(items: DataFrame, inventory: DataFrame, group: str) -> DataFram
     Items without a cost add to units and revenue but not to cost, so the
     profit counts their revenue in full.
     """
-    costed = joins.with_item_cost(items, A.cost_per_item(inventory))
+    costed = joins.with_item_cost(items, joins.never_sent(A.cost_per_item(inventory)))
     rolled = A.rollup(
         costed,
         group,
@@ -150,7 +150,8 @@ def stock_by_class(inventory: DataFrame, products: DataFrame, p: ReportParams) -
             F.sum(F.col("stock_num") * F.col("cost_price")).alias("stock_cost"),
         )
     )
-    return joins.with_product(stock, products, ["class_name"]).rollup("class_name").agg(
+    classed = joins.with_product(stock, joins.never_sent(products), ["class_name"])
+    return classed.rollup("class_name").agg(
         F.grouping("class_name").alias("is_total"),
         F.sum("stock").alias("stock"),
         F.sum("stock_cost").alias("stock_cost"),
@@ -159,7 +160,7 @@ def stock_by_class(inventory: DataFrame, products: DataFrame, p: ReportParams) -
 
 def sales_by_class(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Sales of all warehouses per product class and in total."""
-    sold = joins.with_product(per_item(lines), products, ["class_name"])
+    sold = joins.with_product(per_item(lines), joins.never_sent(products), ["class_name"])
     return sold.rollup("class_name").agg(
         F.grouping("class_name").alias("is_total"),
         F.sum("units").alias("units"),
@@ -215,9 +216,8 @@ def sku_rows(
         inventory.where(filters.one_of("warehouse_name", p.warehouses))
     )
     zero = F.lit(0).cast("decimal(18,2)")
-    joined = joins.with_product(
-        per_item(chosen).join(stock, "spec_no", "left"), products, ["goods_name"]
-    )
+    stocked = per_item(chosen).join(joins.never_sent(stock), "spec_no", "left")
+    joined = joins.with_product(stocked, joins.never_sent(products), ["goods_name"])
     return joined.groupBy("spec_no", "goods_name", "stock", "cost_price").agg(
         F.sum("units").alias("units"),
         F.round(F.sum("amount"), 2).alias("revenue"),

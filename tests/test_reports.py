@@ -338,3 +338,26 @@ def test_hot_item_against_line_by_line_sums(spark, inventory, headers, products)
     assert found(R.inventory_summary(items, inventory, products, P)) == found(
         R.inventory_summary(lines, inventory, products, P)
     )
+
+
+def test_items_are_not_sent_to_the_driver(spark, tmp_path):
+    """Files of a few hundred KB hold 50,000 items; no join of a report gathers them."""
+    items = spark.range(50_000).select(F.col("id").cast("string").alias("spec_no"))
+    items.select(
+        "*", F.lit("w1").alias("warehouse_name"),
+        *(F.lit(n).cast("decimal(18,2)").alias(c) for c, n in (("stock_num", 2), ("cost_price", 3))),
+    ).write.parquet(f"{tmp_path}/inventory")
+    items.select("*", F.lit("name").alias("goods_name"), F.lit("c").alias("class_name")).write.parquet(f"{tmp_path}/products")
+    inventory, products = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("inventory", "products"))
+    lines = window(spark, line(item="7", units=2, amount="30"), line(item="none", amount="5"))
+    for report, joins, rows in (
+        (R.channel_summary(lines, inventory, P), 1, 2),
+        (R.sku_detail(lines, inventory, products, P.online_shops, P), 2, 3),
+        (R.inventory_summary(lines, inventory, products, P), 2, 2),
+    ):
+        assert report.count() == rows
+        report.collect()
+        final = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("SortMergeJoin") >= joins
+        # Classes, which are few, may meet by a broadcast.
+        assert final.count("BroadcastHashJoin") <= (report.columns[1] == "stock")
